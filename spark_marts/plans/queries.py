@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import sales
+from ..operators import clean, rank, sales
+from ..sources import bindings
 from . import oracle as o
-from . import retail
+from . import retail, sqlrun
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +90,185 @@ FROM enriched GROUP BY category, order_month""",
 )
 def q_monthly_category_sales(spark, sf):
     return sales.monthly_category_sales(retail.silver(spark, sf).enriched)
+
+
+AVG_NET = o.avg_dec("SUM(net_sales)", "COUNT(net_sales)", 8, 12)
+
+
+@register(
+    "city_sales",
+    f"""{o.RETAIL}
+SELECT city, state, COUNT(*) AS order_count,
+  CAST(SUM(net_sales) AS DECIMAL(38,8)) AS total_revenue,
+  {AVG_NET} AS avg_order_value
+FROM enriched GROUP BY city, state""",
+)
+def q_city_sales(spark, sf):
+    return sales.city_sales(retail.silver(spark, sf).enriched)
+
+
+LATEST_ORDER_SQL = """latest_order AS (
+  SELECT customer_id, order_timestamp, order_id FROM (
+    SELECT customer_id, order_timestamp, order_id,
+      ROW_NUMBER() OVER (PARTITION BY customer_id
+                         ORDER BY order_timestamp DESC NULLS LAST, order_id DESC NULLS LAST) AS rn
+    FROM enriched) WHERE rn = 1
+)"""
+
+
+@register(
+    "customer_value",
+    f"""{o.RETAIL}, {LATEST_ORDER_SQL},
+per_customer AS (
+  SELECT customer_id, state, CAST(SUM(net_sales) AS DECIMAL(38,8)) AS lifetime_revenue
+  FROM enriched GROUP BY customer_id, state
+)
+SELECT pc.customer_id, pc.state, pc.lifetime_revenue, l.order_id AS latest_order,
+  CAST(DENSE_RANK() OVER (PARTITION BY pc.state ORDER BY pc.lifetime_revenue DESC NULLS LAST) AS INTEGER)
+    AS state_rank
+FROM per_customer pc LEFT JOIN latest_order l ON l.customer_id = pc.customer_id""",
+)
+def q_customer_value(spark, sf):
+    return sales.customer_value(retail.silver(spark, sf).enriched)
+
+
+PER_PRODUCT_SQL = """per_product AS (
+  SELECT category, product_id, product_name, COUNT(*) AS order_count,
+    CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+    CAST(SUM(net_sales) AS DECIMAL(38,8)) AS total_revenue
+  FROM enriched GROUP BY category, product_id, product_name
+)"""
+TOP_PRODUCTS_SQL = f"""{o.RETAIL}, {PER_PRODUCT_SQL}
+SELECT *, CAST(RANK() OVER (PARTITION BY category ORDER BY total_revenue DESC NULLS LAST) AS INTEGER)
+  AS revenue_rank
+FROM per_product"""
+
+
+@register("top_products", TOP_PRODUCTS_SQL)
+def q_top_products(spark, sf):
+    return sales.top_products_by_category(retail.silver(spark, sf).enriched)
+
+
+@register("rank_products", TOP_PRODUCTS_SQL)
+def q_rank_products(spark, sf):
+    """The SQL twin (A7 + W4) run through the script runner."""
+    return sqlrun.run_script(spark, "rank_products_by_category", retail.views(spark, sf))
+
+
+@register(
+    "latest_version",
+    f"""{o.RETAIL}
+SELECT {', '.join(CUSTOMER_COLS)}, _versions AS versions FROM latest_customers""",
+)
+def q_latest_version(spark, sf):
+    raw = bindings.raw_customers(spark, sf)
+    return clean.latest_by_key(clean.prepare_customers(raw), ["customer_id"], ["updated_at"], "versions")
+
+
+@register("latest_order", f"{o.RETAIL}, {LATEST_ORDER_SQL} SELECT * FROM latest_order")
+def q_latest_order(spark, sf):
+    enriched = retail.silver(spark, sf).enriched.select("customer_id", "order_timestamp", "order_id")
+    return clean.latest_by_key(enriched, ["customer_id"], ["order_timestamp"])
+
+
+PER_CUSTOMER_SQL = """per_customer AS (
+  SELECT state, customer_id, customer_name, COUNT(*) AS order_count,
+    CAST(SUM(net_sales) AS DECIMAL(38,8)) AS lifetime_revenue
+  FROM enriched GROUP BY state, customer_id, customer_name
+), ranked_customers AS (
+  SELECT *, CAST(DENSE_RANK() OVER (PARTITION BY state ORDER BY lifetime_revenue DESC NULLS LAST) AS INTEGER)
+    AS state_rank
+  FROM per_customer
+)"""
+
+
+@register("dense_rank_customers", f"{o.RETAIL}, {PER_CUSTOMER_SQL} SELECT * FROM ranked_customers")
+def q_dense_rank_customers(spark, sf):
+    per_customer = (
+        retail.silver(spark, sf)
+        .enriched.groupBy("state", "customer_id", "customer_name")
+        .agg(F.count(F.lit(1)).alias("order_count"), F.sum("net_sales").alias("lifetime_revenue"))
+    )
+    return rank.rank_within(per_customer, ["state"], "lifetime_revenue", "dense_rank", out="state_rank")
+
+
+@register(
+    "top3_customers_state",
+    f"{o.RETAIL}, {PER_CUSTOMER_SQL} SELECT * FROM ranked_customers WHERE state_rank <= 3",
+)
+def q_top3_customers_state(spark, sf):
+    return sqlrun.run_script(spark, "top_customers_per_state", retail.views(spark, sf))
+
+
+@register(
+    "top5_products_category",
+    f"""{o.RETAIL}
+SELECT * FROM (
+  SELECT category, product_id, product_name, CAST(SUM(net_sales) AS DECIMAL(38,8)) AS total_revenue,
+    CAST(RANK() OVER (PARTITION BY category ORDER BY SUM(net_sales) DESC NULLS LAST) AS INTEGER) AS revenue_rank
+  FROM enriched GROUP BY category, product_id, product_name
+) WHERE revenue_rank <= 5""",
+)
+def q_top5_products_category(spark, sf):
+    return sqlrun.run_script(spark, "top_products_per_category", retail.views(spark, sf))
+
+
+@register(
+    "running_revenue",
+    f"""{o.RETAIL}
+SELECT category, order_month, CAST(SUM(net_sales) AS DECIMAL(38,8)) AS total_revenue,
+  CAST(SUM(SUM(net_sales)) OVER (PARTITION BY category ORDER BY order_month ASC NULLS FIRST
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,8)) AS running_total_revenue
+FROM enriched GROUP BY category, order_month""",
+)
+def q_running_revenue(spark, sf):
+    monthly = sales.monthly_category_sales(retail.silver(spark, sf).enriched)
+    return monthly.select("category", "order_month", "total_revenue", "running_total_revenue")
+
+
+MONTHLY_SUMMARY_SQL = f"""{o.RETAIL}
+SELECT order_month, category, COUNT(*) AS order_count,
+  COUNT(DISTINCT customer_id) AS customer_count,
+  CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+  CAST(SUM(net_sales) AS DECIMAL(38,8)) AS total_revenue,
+  CAST({AVG_NET} AS DECIMAL(18,2)) AS avg_order_value,
+  CAST(SUM(CASE WHEN late_delivery_flag THEN 1 ELSE 0 END) AS BIGINT) AS late_delivery_count
+FROM enriched GROUP BY order_month, category"""
+
+
+@register("sql_monthly_summary", MONTHLY_SUMMARY_SQL)
+def q_sql_monthly_summary(spark, sf):
+    return sqlrun.run_script(spark, "monthly_sales_summary", retail.views(spark, sf))
+
+
+@register(
+    "recon_monthly",
+    f"""{o.RETAIL}, s AS (
+  SELECT order_month, category, COUNT(*) AS order_count, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+    CAST(SUM(net_sales) AS DECIMAL(38,8)) AS total_revenue
+  FROM enriched GROUP BY order_month, category)
+SELECT coalesce(s.order_month, g.order_month) AS order_month, coalesce(s.category, g.category) AS category,
+  s.order_count AS sql_order_count, g.order_count AS gold_order_count,
+  s.total_quantity AS sql_total_quantity, g.total_quantity AS gold_total_quantity,
+  s.total_revenue AS sql_total_revenue, g.total_revenue AS gold_total_revenue,
+  'value_mismatch' AS failure_reason
+FROM s FULL OUTER JOIN s AS g ON s.order_month IS NOT DISTINCT FROM g.order_month
+  AND s.category IS NOT DISTINCT FROM g.category
+WHERE s.order_count IS NULL OR g.order_count IS NULL OR s.order_count <> g.order_count""",
+)
+def q_recon_monthly(spark, sf):
+    """The zero-row reconciliation; a pass returns no row."""
+    return sqlrun.run_script(spark, "monthly_matches_gold", retail.views(spark, sf))
+
+
+@register(
+    "layer_counts",
+    f"""{o.RETAIL}
+SELECT 'customers' AS table_name, (SELECT COUNT(*) FROM raw_customers) AS bronze_rows,
+  (SELECT COUNT(*) FROM silver_customers) AS silver_rows
+UNION ALL SELECT 'products', (SELECT COUNT(*) FROM raw_products), (SELECT COUNT(*) FROM silver_products)
+UNION ALL SELECT 'sales_orders', (SELECT COUNT(*) FROM raw_orders), (SELECT COUNT(*) FROM silver_orders)
+UNION ALL SELECT 'enriched_sales', CAST(NULL AS BIGINT), (SELECT COUNT(*) FROM enriched)""",
+)
+def q_layer_counts(spark, sf):
+    return sqlrun.run_script(spark, "layer_counts", retail.views(spark, sf))

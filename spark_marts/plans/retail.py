@@ -44,3 +44,19 @@ def gold(enriched: DataFrame) -> dict[str, DataFrame]:
         "gold_customer_value": sales.customer_value(enriched),
         "gold_top_products_by_category": sales.top_products_by_category(enriched),
     }
+
+
+def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every layer by table name, for SQL scripts: Bronze, Silver and the Gold monthly mart."""
+    raw = bindings.raw_retail(spark, sf_dir)
+    s = silver_from_raw(raw["customers"], raw["products"], raw["sales_orders"])
+    return {
+        "bronze_customers": to_bronze(raw["customers"], "customers.csv"),
+        "bronze_products": to_bronze(raw["products"], "products.csv"),
+        "bronze_sales_orders": to_bronze(raw["sales_orders"], "sales_orders.csv"),
+        "silver_customers": s.customers,
+        "silver_products": s.products,
+        "silver_sales_orders": s.orders,
+        "silver_enriched_sales": s.enriched,
+        "gold_monthly_category_sales": sales.monthly_category_sales(s.enriched),
+    }

@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, rank, sales
+from ..operators import clean, quality, rank, sales
+from ..session import shared_dir
 from ..sources import bindings
+from ..streaming import events
 from . import oracle as o
 from . import retail, sqlrun
 
@@ -272,3 +274,226 @@ UNION ALL SELECT 'enriched_sales', CAST(NULL AS BIGINT), (SELECT COUNT(*) FROM e
 )
 def q_layer_counts(spark, sf):
     return sqlrun.run_script(spark, "layer_counts", retail.views(spark, sf))
+
+
+# ---------------------------------------------------------------------------- quality
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _funnel_sql(table: str, src: str, rules: list[tuple[str, str]]) -> str:
+    cases = " ".join(f"WHEN NOT coalesce({cond}, false) THEN {i}" for i, (_, cond) in enumerate(rules, 1))
+    counts = ", ".join(f"COUNT(*) FILTER (WHERE step = {i}) AS r{i}" for i in range(1, len(rules) + 1))
+    parts, removed = [], "0"
+    for i, (name, _) in enumerate(rules, 1):
+        rows_in = f"CAST(total - ({removed}) AS BIGINT)"
+        removed = f"{removed} + r{i}"
+        parts.append(
+            f"SELECT '{table}' AS table_name, {i} AS step, '{name}' AS rule, {rows_in} AS rows_in, "
+            f"r{i} AS rejected, CAST(total - ({removed}) AS BIGINT) AS rows_out "
+            f"FROM (SELECT COUNT(*) AS total, {counts} FROM (SELECT CASE {cases} ELSE 0 END AS step FROM {src}))"
+        )
+    return " UNION ALL ".join(parts)
+
+
+FUNNEL_SQL = f"""{o.RETAIL}
+SELECT 'customers' AS table_name, 1 AS step, 'older_version' AS rule, total AS rows_in, r1 AS rejected,
+  total - r1 AS rows_out FROM (
+  SELECT CAST(SUM(_versions) AS BIGINT) AS total, CAST(SUM(_versions) - COUNT(*) AS BIGINT) AS r1,
+    COUNT(*) FILTER (WHERE NOT coalesce(is_active = 'Y', false)) AS r2 FROM latest_customers)
+UNION ALL
+SELECT 'customers', 2, 'inactive', total - r1, r2, total - r1 - r2 FROM (
+  SELECT CAST(SUM(_versions) AS BIGINT) AS total, CAST(SUM(_versions) - COUNT(*) AS BIGINT) AS r1,
+    COUNT(*) FILTER (WHERE NOT coalesce(is_active = 'Y', false)) AS r2 FROM latest_customers)
+UNION ALL
+{_funnel_sql('products', 'prep_products', [
+    ('missing_price', 'unit_price IS NOT NULL AND cost_price IS NOT NULL'),
+    ('invalid_price', 'unit_price > 0 AND cost_price > 0 AND cost_price <= unit_price'),
+    ('inactive', "active_flag = 'Y'")])}
+UNION ALL
+{_funnel_sql('sales_orders', 'prep_orders', [
+    ('non_positive_quantity', 'quantity > 0'),
+    ('excluded_status', "NOT order_status IN ('PENDING', 'CANCELLED')")])}"""
+
+
+@register("rejection_funnel", FUNNEL_SQL)
+def q_rejection_funnel(spark, sf):
+    raw = bindings.raw_retail(spark, sf)
+    latest = clean.latest_by_key(clean.prepare_customers(raw["customers"]), ["customer_id"], ["updated_at"], "_versions")
+    return _union(
+        [
+            quality.dedupe_funnel(latest, "_versions", clean.is_active(), "customers", "inactive"),
+            quality.rejection_funnel(clean.prepare_products(raw["products"]), clean.product_rules(), "products"),
+            quality.rejection_funnel(clean.prepare_orders(raw["sales_orders"]), clean.order_rules(), "sales_orders"),
+        ]
+    )
+
+
+@register(
+    "join_loss",
+    f"""{o.RETAIL},
+pk AS (SELECT product_id, COUNT(*) AS np FROM silver_products GROUP BY product_id),
+ck AS (SELECT customer_id, COUNT(*) AS nc FROM silver_customers GROUP BY customer_id)
+SELECT COUNT(*) AS orders_in,
+  COUNT(*) FILTER (WHERE pk.np IS NULL) AS lost_at_product,
+  COUNT(*) FILTER (WHERE pk.np IS NOT NULL AND ck.nc IS NULL) AS lost_at_customer,
+  CAST(coalesce(SUM(pk.np * ck.nc), 0) AS BIGINT) AS orders_out
+FROM silver_orders o LEFT JOIN pk ON pk.product_id = o.product_id
+LEFT JOIN ck ON ck.customer_id = o.customer_id""",
+)
+def q_join_loss(spark, sf):
+    s = retail.silver(spark, sf)
+    return quality.join_loss(s.orders, s.products, s.customers)
+
+
+EVENT_ROWS_SQL = f"""{o.RETAIL},
+gold AS (
+  SELECT category, order_month, COUNT(*) AS order_count, SUM(quantity) AS total_quantity,
+    SUM(net_sales) AS total_revenue
+  FROM enriched GROUP BY category, order_month
+),
+event_rows AS (
+  SELECT 'SALES-' || order_month || '-' || category AS event_id,
+    'MONTHLY_CATEGORY_SALES_READY' AS event_type,
+    order_month AS sales_month, category,
+    CAST(order_count AS BIGINT) AS order_count,
+    CAST(total_quantity AS BIGINT) AS total_quantity,
+    CAST(round_even(total_revenue, 2) AS DECIMAL(18,2)) AS total_revenue
+  FROM gold WHERE order_month IS NOT NULL AND category IS NOT NULL
+)"""
+
+
+@register(
+    "control_totals",
+    f"""{EVENT_ROWS_SQL}
+SELECT 'silver' AS layer, COUNT(*) AS orders, CAST(SUM(quantity) AS BIGINT) AS units,
+  CAST(SUM(net_sales) AS DECIMAL(38,2)) AS revenue FROM enriched
+UNION ALL SELECT 'gold', CAST(SUM(order_count) AS BIGINT), CAST(SUM(total_quantity) AS BIGINT),
+  CAST(SUM(total_revenue) AS DECIMAL(38,2)) FROM gold
+UNION ALL SELECT 'events', CAST(SUM(order_count) AS BIGINT), CAST(SUM(total_quantity) AS BIGINT),
+  CAST(SUM(total_revenue) AS DECIMAL(38,2)) FROM event_rows
+UNION ALL SELECT 'event_rejects', CAST(SUM(order_count) AS BIGINT), CAST(SUM(total_quantity) AS BIGINT),
+  CAST(SUM(total_revenue) AS DECIMAL(38,2)) FROM gold WHERE order_month IS NULL OR category IS NULL""",
+)
+def q_control_totals(spark, sf):
+    enriched = retail.silver(spark, sf).enriched
+    gold = sales.monthly_category_sales(enriched)
+    return quality.control_totals(
+        {
+            "silver": (enriched, None, "quantity", "net_sales"),
+            "gold": (gold, "order_count", "total_quantity", "total_revenue"),
+            "events": (events.build_events(gold), "order_count", "total_quantity", "total_revenue"),
+            "event_rejects": (events.event_rejects(gold), "order_count", "total_quantity", "total_revenue"),
+        }
+    )
+
+
+RAW_CUSTOMER_COLS = CUSTOMER_COLS
+
+
+def _profile_sql(src: str, cols, types: dict[str, str]) -> str:
+    duck = {"date": "DATE", "timestamp_ntz": "TIMESTAMP", "int": "INTEGER"}
+    parts = []
+    for c in cols:
+        bad = (
+            f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {duck[types[c]]}) IS NULL)"
+            if c in types
+            else "CAST(0 AS BIGINT)"
+        )
+        parts.append(
+            f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, {bad} AS bad_type_count, "
+            f"COUNT(DISTINCT {c}) AS distinct_count, CAST(MIN({c}) AS VARCHAR) AS min_value, "
+            f"CAST(MAX({c}) AS VARCHAR) AS max_value FROM {src}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("profile", f"{o.RETAIL} {_profile_sql('raw_customers', CUSTOMER_COLS, clean.CUSTOMER_TYPES)}")
+def q_profile(spark, sf):
+    return quality.profile(bindings.raw_customers(spark, sf), clean.CUSTOMER_TYPES)
+
+
+def _keys_sql(table: str, src: str, key: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{key}' AS key_columns, CAST(SUM(n) AS BIGINT) AS row_count, "
+        f"COUNT(*) AS distinct_keys, COUNT(*) FILTER (WHERE n > 1) AS duplicated_keys "
+        f"FROM (SELECT {key}, COUNT(*) AS n FROM {src} GROUP BY {key})"
+    )
+
+
+@register(
+    "business_keys",
+    f"""{o.RETAIL} {_keys_sql('customers', 'raw_customers', 'customer_id')}
+UNION ALL {_keys_sql('products', 'raw_products', 'product_id')}
+UNION ALL {_keys_sql('sales_orders', 'raw_orders', 'order_id')}""",
+)
+def q_business_keys(spark, sf):
+    raw = bindings.raw_retail(spark, sf)
+    return _union(
+        [
+            quality.business_keys(raw["customers"], ["customer_id"], "customers"),
+            quality.business_keys(raw["products"], ["product_id"], "products"),
+            quality.business_keys(raw["sales_orders"], ["order_id"], "sales_orders"),
+        ]
+    )
+
+
+@register(
+    "sample_limit",
+    f"""{o.RETAIL} SELECT {', '.join(ORDER_COLS)} FROM silver_orders
+ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in ORDER_COLS)} LIMIT 20""",
+)
+def q_sample_limit(spark, sf):
+    """O3: the first 20 Silver orders by id (every column breaks ties); the limit is the feature."""
+    return retail.silver(spark, sf).orders.select(*ORDER_COLS).orderBy(*ORDER_COLS).limit(20)
+
+
+# ----------------------------------------------------------------------------- events
+
+
+def _gold_events(spark, sf):
+    return events.build_events(sales.monthly_category_sales(retail.silver(spark, sf).enriched))
+
+
+@register("event_rows", f"{EVENT_ROWS_SQL} SELECT * FROM event_rows")
+def q_event_rows(spark, sf):
+    return _gold_events(spark, sf)
+
+
+@register("event_json_roundtrip", f"{EVENT_ROWS_SQL} SELECT *, event_id AS key FROM event_rows")
+def q_event_json_roundtrip(spark, sf):
+    msgs = events.to_messages(_gold_events(spark, sf))
+    doc = F.from_json(F.col("value"), events.EVENT_SCHEMA)
+    return msgs.select("key", doc.alias("_e")).select("_e.*", "key")
+
+
+@register(
+    "event_log_rollup",
+    f"""{EVENT_ROWS_SQL}
+SELECT COUNT(*) AS events, CAST(SUM(order_count) AS BIGINT) AS orders,
+  CAST(SUM(total_quantity) AS BIGINT) AS units, CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS revenue
+FROM event_rows""",
+)
+def q_event_log_rollup(spark, sf):
+    """T5 over a replayed log: everything is published twice, each id counts once."""
+    topic = shared_dir(spark, "topic")
+    evts = _gold_events(spark, sf)
+    events.publish(evts, topic)
+    events.publish(evts, topic)
+    return events.event_log_rollup(events.read_log(spark, topic))
+
+
+@register("stream_dedupe", f"{EVENT_ROWS_SQL} SELECT * FROM event_rows")
+def q_stream_dedupe(spark, sf):
+    """Publish, replay, then drain the topic with a checkpointed, deduplicating stream."""
+    topic, sink, ckpt = (shared_dir(spark, n) for n in ("topic", "sink", "checkpoint"))
+    evts = _gold_events(spark, sf)
+    events.publish(evts, topic)
+    events.publish(evts, topic)
+    events.consume(events.dedupe_events(events.stream_events(spark, topic)), sink, ckpt)
+    return spark.read.parquet(sink)

@@ -34,7 +34,8 @@ def rank_window(
 ) -> DataFrame:
     """Plain window ranking; right when each partition is known to be small."""
     fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
-    w = Window.partitionBy(*partition).orderBy(_order(order, descending))
+    w = Window.partitionBy(*partition) if partition else Window
+    w = w.orderBy(_order(order, descending))
     return df.withColumn(out, fn().over(w))
 
 

@@ -198,3 +198,77 @@ def avg_dec(sum_expr: str, count_expr: str, scale_in: int, scale_out: int) -> st
         f"lpad(CAST({mag} % {10 ** scale_out} AS VARCHAR), {scale_out}, '0')"
     )
     return f"CAST({digits} AS DECIMAL(38,{scale_out}))"
+
+
+def grid(key: str) -> tuple[str, str]:
+    return (
+        f"(-60.0 + CAST({key} % 480 AS DOUBLE) * 0.25)",
+        f"(-180.0 + CAST(floor({key} / 480) AS DOUBLE) * 0.25)",
+    )
+
+
+def _daily_sql(where: str = "") -> str:
+    def dsum(cond: str | None = None) -> str:
+        term = "CAST(value AS DECIMAL(12,2))"
+        if cond:
+            term = f"CASE WHEN {cond} THEN {term} ELSE CAST(0 AS DECIMAL(12,2)) END"
+        return f"CAST(SUM({term}) AS DOUBLE)"
+
+    lat, lon = grid("user_id")
+    return f"""(
+  SELECT user_id, day,
+    CASE first_type WHEN 'click' THEN 1 WHEN 'error' THEN 3 WHEN 'purchase' THEN 61
+      WHEN 'signup' THEN 71 WHEN 'view' THEN 0 END AS weather_code,
+    (tmax + tmin) / 2 AS temperature_2m_mean, tmax AS temperature_2m_max, tmin AS temperature_2m_min,
+    (tmax + tmin) / 2 - 1.5 AS apparent_temperature_mean, tmax - 1.5 AS apparent_temperature_max,
+    tmin - 1.5 AS apparent_temperature_min,
+    precipitation_sum, rain_sum, snowfall_sum, precipitation_hours, wind_speed_10m_max,
+    wind_direction_10m_dominant, shortwave_radiation_sum, et0_fao_evapotranspiration,
+    wind_speed_10m_max + 2.0 AS wind_gusts_10m_max, sunshine_duration,
+    CAST(epoch(sunset) - epoch(sunrise) AS DOUBLE) AS daylight_duration, sunset, sunrise,
+    {lat} AS latitude, {lon} AS longitude
+  FROM (
+    SELECT user_id, CAST(ts AS DATE) AS day, min(event_type) AS first_type,
+      max(value) AS tmax, min(value) AS tmin,
+      {dsum("event_type IN ('purchase', 'click')")} AS precipitation_sum,
+      {dsum("event_type = 'click'")} AS rain_sum,
+      {dsum("event_type = 'signup'")} AS snowfall_sum,
+      CAST(max(hour(ts)) - min(hour(ts)) + 1 AS DOUBLE) AS precipitation_hours,
+      coalesce(max(CASE WHEN event_type = 'view' THEN value END), 0.0) AS wind_speed_10m_max,
+      CAST(hour(min(ts)) * 15 AS DOUBLE) AS wind_direction_10m_dominant,
+      {dsum()} AS shortwave_radiation_sum,
+      CAST(COUNT(*) AS DOUBLE) / 10 AS et0_fao_evapotranspiration,
+      CAST(COUNT(*) * 600 AS DOUBLE) AS sunshine_duration,
+      date_trunc('minute', max(ts)) AS sunset, date_trunc('minute', min(ts)) AS sunrise
+    FROM events {where}
+    GROUP BY user_id, CAST(ts AS DATE)))"""
+
+
+DAILY_MEASURES = (
+    "weather_code temperature_2m_mean temperature_2m_max temperature_2m_min "
+    "apparent_temperature_mean apparent_temperature_max apparent_temperature_min "
+    "precipitation_sum rain_sum snowfall_sum precipitation_hours wind_speed_10m_max "
+    "wind_direction_10m_dominant shortwave_radiation_sum et0_fao_evapotranspiration "
+    "wind_gusts_10m_max sunshine_duration daylight_duration sunset sunrise"
+).split()
+
+_CLAT, _CLON = grid("c_custkey")
+
+WEATHER = f"""WITH
+daily_rows AS {_daily_sql()},
+places AS (SELECT c_name AS name, {_CLAT} AS latitude, {_CLON} AS longitude FROM customer),
+located AS (
+  SELECT p.name, d.latitude, d.longitude, d.day, {', '.join('d.' + c for c in DAILY_MEASURES)}
+  FROM daily_rows d JOIN places p ON p.latitude = d.latitude AND p.longitude = d.longitude
+),
+location AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY latitude, longitude) AS location_id, name, latitude, longitude
+  FROM (SELECT DISTINCT name, latitude, longitude FROM located)
+),
+weather AS (
+  SELECT l.location_id, d.day, {', '.join('d.' + c for c in DAILY_MEASURES)}
+  FROM located d JOIN location l ON l.latitude = d.latitude AND l.longitude = d.longitude
+),
+joined AS (
+  SELECT w.*, l.name, l.latitude, l.longitude FROM weather w JOIN location l ON l.location_id = w.location_id
+)"""

@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, quality, rank, sales
+from ..operators import clean, quality, rank, sales, upsert, weather
 from ..session import shared_dir
 from ..sources import bindings
 from ..streaming import events
 from . import oracle as o
 from . import retail, sqlrun
+from . import weather as weather_plan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -497,3 +498,299 @@ def q_stream_dedupe(spark, sf):
     events.publish(evts, topic)
     events.consume(events.dedupe_events(events.stream_events(spark, topic)), sink, ckpt)
     return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------------------- weather
+
+# The reference bounds its rolling query after the sixth day of its data; ours starts
+# 2024-01-01, so the same bound is the sixth day here.
+ROLLING_SINCE = "2024-01-06"
+EXTREME_HOT, EXTREME_COLD = 400.0, 1.0
+MEASURES = o.DAILY_MEASURES
+
+
+@register("flatten_daily", f"{o.WEATHER} SELECT latitude, longitude, day, {', '.join(MEASURES)} FROM daily_rows")
+def q_flatten_daily(spark, sf):
+    """P16 over strictly validated documents (one per place and month)."""
+    return weather_plan.rows_from_documents(spark, sf, strict=True)
+
+
+@register(
+    "document_checks",
+    f"""{o.WEATHER}
+SELECT COUNT(*) AS documents, CAST(0 AS BIGINT) AS bad_documents
+FROM (SELECT DISTINCT user_id, date_trunc('month', day) FROM daily_rows)""",
+)
+def q_document_checks(spark, sf):
+    """Documents and documents failing validation (missing, NULL or unequal arrays)."""
+    docs = bindings.weather_documents(spark, sf)
+    report = weather.document_problems(docs, keep_clean=True)
+    return report.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(F.col("missing_array") | F.col("null_entry") | F.col("unequal_length")).alias("bad_documents"),
+    )
+
+
+@register("locate_weather", f"{o.WEATHER} SELECT * FROM located")
+def q_locate_weather(spark, sf):
+    return weather_plan.load(spark, sf).located
+
+
+@register(
+    "unmatched_locations",
+    f"""{o.WEATHER}
+SELECT * FROM places p
+WHERE NOT EXISTS (SELECT 1 FROM daily_rows d WHERE d.latitude = p.latitude AND d.longitude = p.longitude)""",
+)
+def q_unmatched_locations(spark, sf):
+    return weather.unmatched_places(bindings.locations(spark, sf), weather_plan.daily_rows(spark, sf))
+
+
+@register("distinct_locations", f"{o.WEATHER} SELECT DISTINCT name, latitude, longitude FROM located")
+def q_distinct_locations(spark, sf):
+    return weather.distinct_places(weather_plan.load(spark, sf).located)
+
+
+@register(
+    "hottest_per_day",
+    f"""{o.WEATHER}
+SELECT day, name, apparent_temperature_max FROM (
+  SELECT *, RANK() OVER (PARTITION BY day ORDER BY apparent_temperature_max DESC NULLS LAST) AS rnk FROM joined)
+WHERE rnk = 1""",
+)
+def q_hottest_per_day(spark, sf):
+    return weather.hottest_per_day(weather_plan.joined(spark, sf))
+
+
+def _rolling_sql(frame: str) -> str:
+    return f"""{o.WEATHER}
+SELECT name, day, rain_sum,
+  CAST(SUM(CAST(rain_sum AS DECIMAL(18,2))) OVER (PARTITION BY location_id ORDER BY day {frame}) AS DECIMAL(28,2))
+    AS past_seven_day_total
+FROM joined WHERE day > DATE '{ROLLING_SINCE}'"""
+
+
+@register("rolling_7_rows", _rolling_sql("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"))
+def q_rolling_7_rows(spark, sf):
+    return weather.rolling_rain(weather_plan.joined(spark, sf), ROLLING_SINCE)
+
+
+@register("rolling_7_days", _rolling_sql("RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW"))
+def q_rolling_7_days(spark, sf):
+    return weather.rolling_rain(weather_plan.joined(spark, sf), ROLLING_SINCE, calendar=True)
+
+
+@register(
+    "daylight",
+    f"""{o.WEATHER}
+SELECT name, day, CAST(epoch(sunset) - epoch(sunrise) AS BIGINT) AS total_daylight_seconds,
+  CAST(sunshine_duration AS BIGINT) AS sunshine_seconds, CAST(daylight_duration AS BIGINT) AS daylight_seconds
+FROM joined""",
+)
+def q_daylight(spark, sf):
+    return weather.daylight(weather_plan.joined(spark, sf)).select(
+        "name", "day", "total_daylight_seconds", "sunshine_seconds", "daylight_seconds"
+    )
+
+
+@register(
+    "precip_totals",
+    f"""{o.WEATHER}
+SELECT location_id, name, SUM(precipitation_hours) AS total_precipitation_hours,
+  CAST(SUM(CAST(rain_sum AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_rain_sum
+FROM joined GROUP BY location_id, name""",
+)
+def q_precip_totals(spark, sf):
+    return weather.precipitation_totals(weather_plan.joined(spark, sf))
+
+
+@register(
+    "mean_direction",
+    f"""{o.WEATHER}
+SELECT location_id, name, SUM(wind_direction_10m_dominant) / COUNT(wind_direction_10m_dominant) AS avg_wind_direction
+FROM joined GROUP BY location_id, name""",
+)
+def q_mean_direction(spark, sf):
+    return weather.mean_wind_direction(weather_plan.joined(spark, sf))
+
+
+@register(
+    "code_frequency",
+    f"""{o.WEATHER}
+SELECT location_id, name, weather_code, COUNT(*) AS weather_code_frequency
+FROM joined GROUP BY location_id, name, weather_code""",
+)
+def q_code_frequency(spark, sf):
+    return weather.code_frequency(weather_plan.joined(spark, sf))
+
+
+@register(
+    "max_temp_city",
+    f"""{o.WEATHER}
+SELECT location_id, name, temperature_2m_max AS max_temperature, day AS hottest_day FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY location_id ORDER BY temperature_2m_max DESC, day DESC) AS rn
+  FROM joined) WHERE rn = 1""",
+)
+def q_max_temp_city(spark, sf):
+    return weather.max_temperature(weather_plan.joined(spark, sf))
+
+
+@register(
+    "monthly_precip",
+    f"""{o.WEATHER}
+SELECT location_id, name, strftime(day, '%Y-%m') AS month,
+  CAST(SUM(CAST(precipitation_sum AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_precipitation
+FROM joined GROUP BY location_id, name, strftime(day, '%Y-%m')""",
+)
+def q_monthly_precip(spark, sf):
+    return weather.monthly_precipitation(weather_plan.joined(spark, sf))
+
+
+WIND_AVG = o.avg_dec("SUM(CAST(wind_speed_10m_max AS DECIMAL(18,2)))", "COUNT(wind_speed_10m_max)", 2, 6)
+
+
+@register(
+    "windiest_week",
+    f"""{o.WEATHER}
+SELECT week_start, avg_wind_speed, max_wind_speed FROM (
+  SELECT *, RANK() OVER (ORDER BY avg_wind_speed DESC NULLS LAST) AS rnk FROM (
+    SELECT CAST(date_trunc('week', day) AS DATE) AS week_start,
+      CAST({WIND_AVG} AS DECIMAL(22,6)) AS avg_wind_speed, MAX(wind_speed_10m_max) AS max_wind_speed
+    FROM joined GROUP BY CAST(date_trunc('week', day) AS DATE)))
+WHERE rnk = 1""",
+)
+def q_windiest_week(spark, sf):
+    return weather.windiest_week(weather_plan.joined(spark, sf))
+
+
+@register(
+    "mean_rain",
+    f"""{o.WEATHER}
+SELECT location_id, name,
+  CAST({o.avg_dec("SUM(CAST(rain_sum AS DECIMAL(18,2)))", "COUNT(rain_sum)", 2, 6)} AS DECIMAL(22,6)) AS avg_rain_sum
+FROM joined GROUP BY location_id, name""",
+)
+def q_mean_rain(spark, sf):
+    return weather.mean_rain(weather_plan.joined(spark, sf))
+
+
+@register(
+    "extreme_days",
+    f"""{o.WEATHER}
+SELECT location_id, name,
+  COUNT(*) FILTER (WHERE temperature_2m_max >= {EXTREME_HOT} OR temperature_2m_min <= {EXTREME_COLD}) AS extreme_days
+FROM joined GROUP BY location_id, name""",
+)
+def q_extreme_days(spark, sf):
+    return weather.extreme_days(weather_plan.joined(spark, sf), EXTREME_HOT, EXTREME_COLD)
+
+
+@register(
+    "hottest_month",
+    f"""{o.WEATHER}
+SELECT month, avg_temperature FROM (
+  SELECT *, RANK() OVER (ORDER BY avg_temperature DESC NULLS LAST) AS rnk FROM (
+    SELECT strftime(day, '%Y-%m') AS month,
+      CAST({o.avg_dec("SUM(CAST(temperature_2m_mean AS DECIMAL(18,3)))", "COUNT(temperature_2m_mean)", 3, 7)}
+        AS DECIMAL(22,7)) AS avg_temperature
+    FROM joined GROUP BY strftime(day, '%Y-%m')))
+WHERE rnk = 1""",
+)
+def q_hottest_month(spark, sf):
+    return weather.hottest_month(weather_plan.joined(spark, sf))
+
+
+# ---------------------------------------------------------------------------- upserts
+
+_SLAT, _SLON = o.grid("s_suppkey")
+
+
+@register(
+    "upsert_dimension",
+    f"""{o.WEATHER},
+target AS (SELECT s_suppkey + 1 AS location_id, {_SLAT} AS latitude, {_SLON} AS longitude, s_name AS name FROM supplier),
+updates AS (SELECT latitude, longitude, name FROM places),
+kept AS (
+  SELECT t.location_id, t.latitude, t.longitude, CASE WHEN u.latitude IS NOT NULL THEN u.name ELSE t.name END AS name
+  FROM target t LEFT JOIN updates u ON u.latitude = t.latitude AND u.longitude = t.longitude
+),
+fresh AS (
+  SELECT (SELECT MAX(location_id) FROM target) + ROW_NUMBER() OVER (ORDER BY latitude, longitude) AS location_id,
+    latitude, longitude, name
+  FROM updates u
+  WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.latitude = u.latitude AND t.longitude = u.longitude)
+)
+SELECT * FROM kept UNION ALL SELECT * FROM fresh""",
+)
+def q_upsert_dimension(spark, sf):
+    """Places from customers upserted into a Location table first loaded from suppliers."""
+    supplier = bindings.read_table(spark, sf, "supplier")
+    key = F.col("s_suppkey")
+    target = supplier.select(
+        (key + 1).alias("location_id"), bindings.grid_latitude(key), bindings.grid_longitude(key),
+        F.col("s_name").alias("name"),
+    )
+    updates = bindings.locations(spark, sf).select("latitude", "longitude", "name")
+    return upsert.upsert_dimension(target, updates, ["latitude", "longitude"], "location_id")
+
+
+FACT_OLD, FACT_NEW = ["click", "view", "purchase"], ["purchase", "signup", "error"]
+
+
+def _types_sql(types):
+    return "WHERE event_type IN (" + ", ".join(f"'{t}'" for t in types) + ")"
+
+
+@register(
+    "upsert_fact",
+    f"""WITH target AS {o._daily_sql(_types_sql(FACT_OLD))}, updates AS {o._daily_sql(_types_sql(FACT_NEW))}
+SELECT user_id, day, {', '.join(MEASURES)} FROM target t
+WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.user_id = t.user_id AND u.day = t.day)
+UNION ALL SELECT user_id, day, {', '.join(MEASURES)} FROM updates""",
+)
+def q_upsert_fact(spark, sf):
+    """A later, differently composed delivery of daily rows replaces matching (place, day) rows."""
+    target = bindings.daily_measures(spark, sf, FACT_OLD)
+    updates = bindings.daily_measures(spark, sf, FACT_NEW)
+    return upsert.upsert_fact(target, updates, ["user_id", "day"])
+
+
+@register("key_lookup", f"{o.WEATHER} SELECT * FROM weather WHERE location_id = 1")
+def q_key_lookup(spark, sf):
+    """Every day of one place (the Weather lookup returns all its rows)."""
+    return upsert.lookup(weather_plan.load(spark, sf).weather, "location_id", 1)
+
+
+_LOC_COLS = ["location_id", "name", "latitude", "longitude"]
+
+
+@register(
+    "constraint_checks",
+    f"""{o.WEATHER}
+SELECT 'location_not_null' AS check_name, COUNT(*) AS violations FROM location
+  WHERE {' OR '.join(c + ' IS NULL' for c in _LOC_COLS)}
+UNION ALL SELECT 'location_primary_key', COUNT(*) FROM (SELECT location_id FROM location GROUP BY location_id HAVING COUNT(*) > 1)
+UNION ALL SELECT 'location_unique_coordinates', COUNT(*) FROM (
+  SELECT latitude, longitude FROM location GROUP BY latitude, longitude HAVING COUNT(*) > 1)
+UNION ALL SELECT 'location_name_length', COUNT(*) FROM location WHERE length(name) > 32
+UNION ALL SELECT 'weather_not_null', COUNT(*) FROM weather
+  WHERE {' OR '.join(c + ' IS NULL' for c in ['location_id', 'day', *MEASURES])}
+UNION ALL SELECT 'weather_primary_key', COUNT(*) FROM (
+  SELECT location_id, day FROM weather GROUP BY location_id, day HAVING COUNT(*) > 1)
+UNION ALL SELECT 'weather_foreign_key', COUNT(*) FROM weather w
+  WHERE NOT EXISTS (SELECT 1 FROM location l WHERE l.location_id = w.location_id)""",
+)
+def q_constraint_checks(spark, sf):
+    """The DDL constraints of both tables as counted violations (all zero when clean)."""
+    t = weather_plan.load(spark, sf)
+    return quality.constraint_report(
+        {
+            "location_not_null": quality.null_violations(t.location, _LOC_COLS),
+            "location_primary_key": quality.key_violations(t.location, ["location_id"]),
+            "location_unique_coordinates": quality.key_violations(t.location, ["latitude", "longitude"]),
+            "location_name_length": quality.length_violations(t.location, "name", 32),
+            "weather_not_null": quality.null_violations(t.weather, ["location_id", "day", *MEASURES]),
+            "weather_primary_key": quality.key_violations(t.weather, ["location_id", "day"]),
+            "weather_foreign_key": quality.foreign_key_violations(t.weather, t.location, ["location_id"]),
+        }
+    )

@@ -178,13 +178,16 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.select(F.col("c_name").alias("name"), grid_latitude(key), grid_longitude(key))
 
 
-def daily_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_measures(spark: SparkSession, sf_dir: str, event_types: list[str] | None = None) -> DataFrame:
     """One row per (place, day) from the event stream: the daily weather series.
 
     Sums are taken over exact decimals and only then turned into doubles, so results
-    do not depend on summation order.
+    do not depend on summation order. ``event_types`` restricts the feed (a partial
+    delivery, used to build an older version of the series).
     """
     events = read_table(spark, sf_dir, "events")
+    if event_types:
+        events = events.filter(F.col("event_type").isin(*event_types))
     value = F.col("value")
     dec = value.cast("decimal(12,2)")
 
@@ -207,8 +210,8 @@ def daily_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         dsum().alias("shortwave_radiation_sum"),
         (F.count(F.lit(1)).cast("double") / 10).alias("et0_fao_evapotranspiration"),
         (F.count(F.lit(1)) * 600).cast("double").alias("sunshine_duration"),
-        F.date_trunc("minute", F.max("ts")).alias("sunset"),
-        F.date_trunc("minute", F.min("ts")).alias("sunrise"),
+        F.date_trunc("minute", F.max("ts")).cast("timestamp_ntz").alias("sunset"),
+        F.date_trunc("minute", F.min("ts")).cast("timestamp_ntz").alias("sunrise"),
     )
     tmax, tmin = F.col("temperature_2m_max"), F.col("temperature_2m_min")
     return daily.select(
@@ -231,9 +234,7 @@ def daily_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         "et0_fao_evapotranspiration",
         (F.col("wind_speed_10m_max") + 2.0).alias("wind_gusts_10m_max"),
         "sunshine_duration",
-        (F.unix_seconds(F.col("sunset").cast("timestamp")) - F.unix_seconds(F.col("sunrise").cast("timestamp")))
-        .cast("double")
-        .alias("daylight_duration"),
+        F.timestamp_diff("SECOND", F.col("sunrise"), F.col("sunset")).cast("double").alias("daylight_duration"),
         "sunset",
         "sunrise",
     )
@@ -256,12 +257,19 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     A document covers one calendar month, so an array never holds more than 31
     entries however many days a place accumulates.
     """
-    daily = daily_measures(spark, sf_dir)
+    return documents_from_daily(daily_measures(spark, sf_dir))
+
+
+def _field(name: str):
+    return lambda x: x[name]
+
+
+def documents_from_daily(daily: DataFrame) -> DataFrame:
     key = F.col("user_id")
     entries = F.array_sort(F.collect_list(F.struct("day", *DAILY_FIELDS)))
     docs = daily.groupBy(key, F.date_trunc("month", F.col("day")).alias("_month")).agg(entries.alias("_e"))
-    arrays = [F.transform("_e", lambda x: x["day"]).alias("time")] + [
-        F.transform("_e", lambda x, f=f: x[f]).alias(f) for f in DAILY_FIELDS
+    arrays = [F.transform("_e", _field("day")).alias("time")] + [
+        F.transform("_e", _field(f)).alias(f) for f in DAILY_FIELDS
     ]
     return docs.select(
         grid_latitude(key),

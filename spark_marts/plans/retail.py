@@ -5,16 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from ..operators import clean, sales
 from ..sources import bindings
+from ..sources.raw import stamp_lineage
 
 
 def to_bronze(raw: DataFrame, source_file: str | None = None) -> DataFrame:
     """Lineage stamp. Without an explicit name the scan's own file path is used."""
-    src = F.lit(source_file) if source_file else F.col("_metadata.file_path")
-    return raw.withColumns({"source_file": src, "ingestion_timestamp": F.current_timestamp()})
+    return stamp_lineage(raw, source_file)
 
 
 @dataclass(frozen=True)

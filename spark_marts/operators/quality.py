@@ -173,3 +173,45 @@ def constraint_report(checks: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def count_check(source: DataFrame, loaded: DataFrame, table: str) -> DataFrame:
+    """D3: rows in the source and in the loaded layer, and whether they agree (one pass
+    over the union of both sides)."""
+    tagged = source.select(F.lit(1).alias("_side")).unionByName(loaded.select(F.lit(2).alias("_side")))
+    return tagged.agg(
+        F.count_if(F.col("_side") == 1).alias("source_rows"),
+        F.count_if(F.col("_side") == 2).alias("loaded_rows"),
+    ).select(
+        F.lit(table).alias("table_name"), "source_rows", "loaded_rows",
+        (F.col("source_rows") == F.col("loaded_rows")).alias("counts_match"),
+    )
+
+
+def control_total_mismatches(totals: DataFrame, tolerance: str = "0.01") -> DataFrame:
+    """D4 as a zero-row check over :func:`control_totals` output.
+
+    Gold must equal Silver exactly; events plus event rejects must equal Gold in orders
+    and units, and in revenue within ``tolerance`` per event (cent rounding).
+    """
+    layers = ("silver", "gold", "events", "event_rejects")
+    wide = totals.agg(
+        *[
+            F.max(F.when(F.col("layer") == layer, F.col(c))).alias(f"{layer}_{c}")
+            for layer in layers
+            for c in ("orders", "units", "revenue")
+        ]
+    )
+    ev = {c: F.col(f"events_{c}") + F.coalesce(F.col(f"event_rejects_{c}"), F.lit(0)) for c in ("orders", "units", "revenue")}
+    g = lambda c: F.col(f"gold_{c}")
+    checks = [
+        ("gold_vs_silver_orders", g("orders").eqNullSafe(F.col("silver_orders"))),
+        ("gold_vs_silver_units", g("units").eqNullSafe(F.col("silver_units"))),
+        ("gold_vs_silver_revenue", g("revenue").eqNullSafe(F.col("silver_revenue"))),
+        ("events_vs_gold_orders", ev["orders"].eqNullSafe(g("orders"))),
+        ("events_vs_gold_units", ev["units"].eqNullSafe(g("units"))),
+        ("events_vs_gold_revenue",
+         F.abs(ev["revenue"] - g("revenue")) <= F.lit(tolerance).cast("decimal(10,2)") * F.col("events_orders")),
+    ]
+    rows = [[F.lit(name), F.coalesce(ok, F.lit(False))] for name, ok in checks]
+    return _unpack(wide, rows, ["check_name", "passed"]).filter(~F.col("passed"))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.bindings import DAILY_FIELDS
 from .rank import rolling_sum_days, rolling_sum_rows, top_k
@@ -66,14 +67,23 @@ def flatten_daily(docs: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ locate and load
 
 
-def locate(rows: DataFrame, places: DataFrame) -> DataFrame:
+def locate(rows: DataFrame, places: DataFrame, precision: int | None = None) -> DataFrame:
     """J6 + P17: attach the place name on exact (latitude, longitude) equality.
 
     Rows of documents whose coordinates name no place are dropped; see
-    :func:`unmatched_places` / :func:`unmatched_rows` for the report.
+    :func:`unmatched_places` / :func:`unmatched_rows` for the report. ``precision``
+    joins on coordinates rounded to that many decimals instead (G12: an API may answer
+    with the nearest grid node rather than the coordinates asked for); the document's
+    own coordinates are kept.
     """
-    located = rows.join(places.select("name", "latitude", "longitude"), ["latitude", "longitude"])
-    return located.select("name", "latitude", "longitude", *[c for c in rows.columns if c not in ("latitude", "longitude")])
+    rest = [c for c in rows.columns if c not in ("latitude", "longitude")]
+    if precision is None:
+        located = rows.join(places.select("name", "latitude", "longitude"), ["latitude", "longitude"])
+        return located.select("name", "latitude", "longitude", *rest)
+    key = lambda df: [F.round(df["latitude"], precision).alias("_lat"), F.round(df["longitude"], precision).alias("_lon")]
+    r = rows.select("*", *key(rows))
+    p = places.select(F.col("name"), *key(places))
+    return r.join(p, ["_lat", "_lon"]).select("name", "latitude", "longitude", *rest)
 
 
 def unmatched_places(places: DataFrame, rows: DataFrame) -> DataFrame:
@@ -110,7 +120,9 @@ def hottest_per_day(joined: DataFrame) -> DataFrame:
     return top.select("day", "name", "apparent_temperature_max")
 
 
-def rolling_rain(joined: DataFrame, since: str, calendar: bool = False, rows: int = 7) -> DataFrame:
+def rolling_rain(
+    joined: DataFrame, since: str, calendar: bool = False, rows: int = 7, ordered: bool = False
+) -> DataFrame:
     """W7 (+F7): rain today plus the six rows (or calendar days) before it, per place.
 
     The date bound applies before the window, so the first days after it see a short
@@ -123,6 +135,8 @@ def rolling_rain(joined: DataFrame, since: str, calendar: bool = False, rows: in
         out = rolling_sum_days(src, ["location_id"], "day", "_rain", rows, "past_seven_day_total")
     else:
         out = rolling_sum_rows(src, ["location_id"], "day", "_rain", rows, "past_seven_day_total")
+    if ordered:  # O2: by day, then by a column the report does not show
+        out = out.orderBy("day", "latitude")
     return out.select("name", "day", "rain_sum", "past_seven_day_total")
 
 
@@ -144,19 +158,30 @@ def _cents(col: str) -> Column:
     return F.col(col).cast("decimal(18,2)")
 
 
-def precipitation_totals(joined: DataFrame) -> DataFrame:
+def _per_place(joined: DataFrame, *aggs: Column, extra: Sequence[str] = (), ordered: bool = False,
+               then: Sequence[Column] = ()) -> DataFrame:
+    """Aggregate per place. ``latitude`` depends on ``location_id``, so it rides along as
+    a group key and the report can be ordered by it without showing it (O2)."""
+    out = joined.groupBy("location_id", "name", "latitude", *extra).agg(*aggs)
+    if ordered:
+        out = out.orderBy("latitude", *then)
+    return out.drop("latitude")
+
+
+def precipitation_totals(joined: DataFrame, ordered: bool = False) -> DataFrame:
     """Precipitation hours and rain per place (hours are whole numbers; rain in cents)."""
-    return joined.groupBy("location_id", "name").agg(
+    return _per_place(
+        joined,
         F.sum("precipitation_hours").alias("total_precipitation_hours"),
         F.sum(_cents("rain_sum")).alias("total_rain_sum"),
+        ordered=ordered,
     )
 
 
-def mean_wind_direction(joined: DataFrame) -> DataFrame:
+def mean_wind_direction(joined: DataFrame, ordered: bool = False) -> DataFrame:
     """Arithmetic mean of the dominant direction (not a circular mean, as specified)."""
-    return joined.groupBy("location_id", "name").agg(
-        (F.sum("wind_direction_10m_dominant") / F.count("wind_direction_10m_dominant")).alias("avg_wind_direction")
-    )
+    d = "wind_direction_10m_dominant"
+    return _per_place(joined, (F.sum(d) / F.count(d)).alias("avg_wind_direction"), ordered=ordered)
 
 
 def circular_mean_direction(joined: DataFrame) -> DataFrame:
@@ -166,10 +191,11 @@ def circular_mean_direction(joined: DataFrame) -> DataFrame:
     return joined.groupBy("location_id", "name").agg(F.pmod(mean, F.lit(360.0)).alias("circular_wind_direction"))
 
 
-def code_frequency(joined: DataFrame) -> DataFrame:
-    """A10: days per (place, weather code)."""
-    return joined.groupBy("location_id", "name", "weather_code").agg(
-        F.count(F.lit(1)).alias("weather_code_frequency")
+def code_frequency(joined: DataFrame, ordered: bool = False) -> DataFrame:
+    """A10: days per (place, weather code); most frequent first within a place."""
+    return _per_place(
+        joined, F.count(F.lit(1)).alias("weather_code_frequency"), extra=["weather_code"], ordered=ordered,
+        then=[F.col("weather_code_frequency").desc()],
     )
 
 
@@ -223,3 +249,28 @@ def since_filter(df: DataFrame, day: str, bound: str) -> DataFrame:
 
 def keep_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols)
+
+
+# The relational tables with their NOT NULL columns (keys are checked by D9).
+LOCATION_SCHEMA = T.StructType(
+    [
+        T.StructField("location_id", T.LongType(), False),
+        T.StructField("name", T.StringType(), False),
+        T.StructField("latitude", T.DoubleType(), False),
+        T.StructField("longitude", T.DoubleType(), False),
+    ]
+)
+WEATHER_SCHEMA = T.StructType(
+    [T.StructField("location_id", T.LongType(), False), T.StructField("day", T.DateType(), False),
+     T.StructField("weather_code", T.IntegerType(), False)]
+    + [T.StructField(f, T.DoubleType(), False) for f in DAILY_FIELDS if f not in ("weather_code", "sunset", "sunrise")]
+    + [T.StructField("sunset", T.TimestampNTZType(), False), T.StructField("sunrise", T.TimestampNTZType(), False)]
+)
+
+
+def create_tables(spark, namespace: str) -> None:
+    """Create empty Location and Weather tables if absent."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
+    for name, schema in (("location", LOCATION_SCHEMA), ("weather", WEATHER_SCHEMA)):
+        if not spark.catalog.tableExists(f"{namespace}.{name}"):
+            spark.catalog.createTable(f"{namespace}.{name}", source="parquet", schema=schema)

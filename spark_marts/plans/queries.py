@@ -572,7 +572,7 @@ FROM joined WHERE day > DATE '{ROLLING_SINCE}'"""
 
 @register("rolling_7_rows", _rolling_sql("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"))
 def q_rolling_7_rows(spark, sf):
-    return weather.rolling_rain(weather_plan.joined(spark, sf), ROLLING_SINCE)
+    return weather.rolling_rain(weather_plan.joined(spark, sf), ROLLING_SINCE, ordered=True)
 
 
 @register("rolling_7_days", _rolling_sql("RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW"))
@@ -601,7 +601,7 @@ SELECT location_id, name, SUM(precipitation_hours) AS total_precipitation_hours,
 FROM joined GROUP BY location_id, name""",
 )
 def q_precip_totals(spark, sf):
-    return weather.precipitation_totals(weather_plan.joined(spark, sf))
+    return weather.precipitation_totals(weather_plan.joined(spark, sf), ordered=True)
 
 
 @register(
@@ -611,7 +611,7 @@ SELECT location_id, name, SUM(wind_direction_10m_dominant) / COUNT(wind_directio
 FROM joined GROUP BY location_id, name""",
 )
 def q_mean_direction(spark, sf):
-    return weather.mean_wind_direction(weather_plan.joined(spark, sf))
+    return weather.mean_wind_direction(weather_plan.joined(spark, sf), ordered=True)
 
 
 @register(
@@ -621,7 +621,7 @@ SELECT location_id, name, weather_code, COUNT(*) AS weather_code_frequency
 FROM joined GROUP BY location_id, name, weather_code""",
 )
 def q_code_frequency(spark, sf):
-    return weather.code_frequency(weather_plan.joined(spark, sf))
+    return weather.code_frequency(weather_plan.joined(spark, sf), ordered=True)
 
 
 @register(
@@ -794,3 +794,24 @@ def q_constraint_checks(spark, sf):
             "weather_foreign_key": quality.foreign_key_violations(t.weather, t.location, ["location_id"]),
         }
     )
+
+
+@register(
+    "count_check",
+    f"""{o.RETAIL}
+SELECT 'sales_orders' AS table_name, (SELECT COUNT(*) FROM raw_orders) AS source_rows,
+  (SELECT COUNT(*) FROM raw_orders) AS loaded_rows, true AS counts_match""",
+)
+def q_count_check(spark, sf):
+    """D3: raw orders against their Bronze copy (lineage-stamped)."""
+    raw_orders = bindings.raw_orders(spark, sf)
+    return quality.count_check(raw_orders, retail.to_bronze(raw_orders, "sales_orders.csv"), "sales_orders")
+
+
+@register(
+    "control_totals_check",
+    f"""{o.RETAIL} SELECT CAST(NULL AS VARCHAR) AS check_name, CAST(NULL AS BOOLEAN) AS passed WHERE false""",
+)
+def q_control_totals_check(spark, sf):
+    """Silver = Gold, and events + rejected rows = Gold (cents per event); no row = pass."""
+    return quality.control_total_mismatches(q_control_totals(spark, sf))

@@ -97,7 +97,7 @@ def publish(
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of a file topic: every line ever published, replays included."""
-    return from_messages(spark.read.text(path))
+    return from_messages(spark.read.text(path).filter(F.length("value") > 0))
 
 
 def read_first(spark: SparkSession, path: str, n: int) -> DataFrame:
@@ -113,7 +113,9 @@ def stream_events(spark: SparkSession, path: str, max_files_per_trigger: int | N
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return from_messages(reader.load(path))
+    lines = reader.load(path)
+    # empty payloads carry no event
+    return from_messages(lines.filter(F.length("value") > 0))
 
 
 def dedupe_events(stream: DataFrame, event_time: str | None = None, delay: str = "1 day") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from ..operators import clean, sales
@@ -15,24 +15,69 @@ def to_bronze(raw: DataFrame, source_file: str | None = None) -> DataFrame:
     return stamp_lineage(raw, source_file)
 
 
-@dataclass(frozen=True)
 class Silver:
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    enriched: DataFrame
+    """The Silver layer; each table is planned on first use only."""
+
+    def __init__(self, customers: DataFrame, products: DataFrame, orders: DataFrame):
+        self._raw = {"customers": customers, "products": products, "orders": orders}
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return clean.clean_customers(self._raw["customers"])
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean.clean_products(self._raw["products"])
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return clean.clean_orders(self._raw["orders"])
+
+    @cached_property
+    def enriched(self) -> DataFrame:
+        return sales.enrich_sales(self.orders, self.customers, self.products)
 
 
 def silver_from_raw(customers: DataFrame, products: DataFrame, orders: DataFrame) -> Silver:
-    c = clean.clean_customers(customers)
-    p = clean.clean_products(products)
-    o = clean.clean_orders(orders)
-    return Silver(c, p, o, sales.enrich_sales(o, c, p))
+    return Silver(customers, products, orders)
+
+
+class _LazyRaw:
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return bindings.raw_customers(self.spark, self.sf_dir)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return bindings.raw_products(self.spark, self.sf_dir)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return bindings.raw_orders(self.spark, self.sf_dir)
+
+
+class _SilverFromBindings(Silver):
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._lazy = _LazyRaw(spark, sf_dir)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return clean.clean_customers(self._lazy.customers)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean.clean_products(self._lazy.products)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return clean.clean_orders(self._lazy.orders)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> Silver:
-    raw = bindings.raw_retail(spark, sf_dir)
-    return silver_from_raw(raw["customers"], raw["products"], raw["sales_orders"])
+    return _SilverFromBindings(spark, sf_dir)
 
 
 def gold(enriched: DataFrame) -> dict[str, DataFrame]:

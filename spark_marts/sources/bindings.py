@@ -13,6 +13,8 @@ Every raw retail column is a string, as a CSV read without schema inference give
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,17 @@ TABLES = (
 ).split()
 
 
+_SCANS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of a shared (read-only) table. The resolved scan is reused per session, which
+    saves the file listing and footer read when many queries start from the same table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    scans = _SCANS.setdefault(spark, {})
+    if path not in scans:
+        scans[path] = spark.read.parquet(path)
+    return scans[path]
 
 
 def _s(col: Column) -> Column:

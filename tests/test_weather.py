@@ -104,7 +104,33 @@ def test_upsert_fact_replaces_matching_keys(spark):
 
 
 def test_circular_mean_differs_from_arithmetic(spark):
-    df = spark.createDataFrame([(1, "A", 350.0), (1, "A", 10.0)], "location_id long, name string, wind_direction_10m_dominant double")
+    df = spark.createDataFrame([(1, "A", 1.0, 350.0), (1, "A", 1.0, 10.0)],
+                               "location_id long, name string, latitude double, wind_direction_10m_dominant double")
     assert weather.mean_wind_direction(df).first().avg_wind_direction == 180.0
     c = weather.circular_mean_direction(df).first().circular_wind_direction
     assert abs(c) < 1e-9 or abs(c - 360.0) < 1e-9
+
+
+def test_rounded_coordinate_join(spark):
+    rows = spark.createDataFrame([(38.4999, -121.7501, 1)], "latitude double, longitude double, v int")
+    places = spark.createDataFrame([("Davis", 38.5, -121.75)], "name string, latitude double, longitude double")
+    assert weather.locate(rows, places).count() == 0  # exact equality misses grid offsets
+    got = weather.locate(rows, places, precision=2).first()
+    assert (got.name, got.latitude) == ("Davis", 38.4999)
+
+
+def test_place_reports_are_ordered_by_hidden_latitude(spark):
+    df = spark.createDataFrame(
+        [(2, "North", 50.0, 1.0, 1.0), (1, "South", -10.0, 2.0, 3.0), (1, "South", -10.0, 2.0, 3.0)],
+        "location_id long, name string, latitude double, precipitation_hours double, rain_sum double")
+    out = weather.precipitation_totals(df, ordered=True)
+    assert "latitude" not in out.columns
+    assert [r.name for r in out.collect()] == ["South", "North"]
+
+
+def test_create_tables_declares_not_null(spark):
+    weather.create_tables(spark, "ddl_test")
+    schema = spark.table("ddl_test.weather").schema
+    assert schema["day"].dataType.simpleString() == "date"
+    assert len(schema) == 22
+    assert [f.name for f in spark.table("ddl_test.location").schema] == ["location_id", "name", "latitude", "longitude"]

@@ -32,6 +32,30 @@ def test_pipeline_end_to_end(spark):
     assert "silver_enriched_sales" in tables.list_tables(spark, "retail_test")
 
 
+def test_bucketed_layers_match_and_skip_the_customer_shuffle(spark):
+    from spark_marts.operators import sales
+    raw = bindings.raw_retail(spark, SF)
+    pipeline.build_layers(spark, raw, "bucketed_test", pipeline.RunReport(), buckets=4)
+    t = lambda n: spark.table(f"bucketed_test.{n}")
+    enriched = sales.enrich_sales(t("silver_sales_orders"), t("silver_customers"), t("silver_products"), customers_first=True)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for dimensions too big to broadcast
+    try:
+        plan = enriched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin [customer_id" in plan and "Bucketed: true" in plan
+    assert "Exchange hashpartitioning(customer_id" not in plan  # the co-located join shuffles nothing
+    expect = retail_silver_enriched(spark).drop("source_file", "ingestion_timestamp")
+    got = t("silver_enriched_sales").drop("source_file", "ingestion_timestamp").select(*expect.columns)
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+
+
+def retail_silver_enriched(spark):
+    from spark_marts.plans import retail
+    return retail.silver(spark, SF).enriched
+
+
 def test_replace_table_while_reading_it(spark):
     spark.sql("CREATE SCHEMA IF NOT EXISTS swap_test")
     spark.range(5).write.mode("overwrite").saveAsTable("swap_test.t")

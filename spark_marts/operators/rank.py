@@ -3,10 +3,10 @@
 A window ``PARTITION BY state`` over every customer puts all customers of a state into
 one task; with a handful of states that caps parallelism at the number of states and
 one hot state becomes a single giant sort. :func:`rank_within` therefore ranks in two
-levels: values are first collapsed to distinct values with multiplicities (partial
-aggregation, so tied hot values cost nothing), split into value buckets at approximate
-quantiles per partition key, ranked inside each bucket, and shifted by the bucket
-offsets taken from a small (keys x buckets) summary. The result is the exact
+levels: values are split into buckets at approximate quantiles per partition key,
+collapsed to distinct values with multiplicities (partial aggregation, so tied hot values
+cost nothing), ranked inside each (key, bucket), and shifted by the bucket offsets taken
+from a small (keys x buckets) summary. The result is the exact
 ``rank()`` / ``dense_rank()``.
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def _order(col: str, descending: bool) -> Column:
@@ -48,36 +48,43 @@ def rank_within(
     out: str = "rank",
     buckets: int | None = None,
     accuracy: int = 10000,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """Exact ``rank()``/``dense_rank()`` over ``(partition, order)``, skew-proof.
 
     NULL order values rank last, tied with each other, as ``DESC/ASC NULLS LAST``.
+    The input is read by several branches (distinct values, bounds, offsets, the final
+    join), so by default it is materialised once (:func:`~spark_marts.session.materialize`)
+    instead of recomputing its whole upstream per branch.
     """
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unsupported ranking method {method!r}")
     partition = list(partition)
     if buckets is None:
         buckets = max(8, 2 * df.sparkSession.sparkContext.defaultParallelism)
+    if checkpoint:
+        df = materialize(df)
     v = F.col(order)
 
-    # 1. distinct values per key with their multiplicity
-    distinct = df.groupBy(*partition, order).agg(F.count(F.lit(1)).alias("_n"))
-
-    # 2. bucket bounds at approximate quantiles of the distinct values, one row per key
+    # 1. bucket bounds at approximate quantiles of each key's values: one row per key
     fractions = [i / buckets for i in range(1, buckets)]
-    bounds = distinct.groupBy(*partition).agg(
-        F.percentile_approx(order, fractions, accuracy).alias("_bounds")
-    )
+    bounds = df.groupBy(*partition).agg(F.percentile_approx(order, fractions, accuracy).alias("_bounds"))
     if descending:
         bucket_of = F.size(F.filter("_bounds", lambda b: b > v))
     else:
         bucket_of = F.size(F.filter("_bounds", lambda b: b < v))
-    bucketed = _join_null_safe(distinct, bounds, partition).select(
-        *partition,
-        order,
-        "_n",
-        F.when(v.isNull(), F.lit(buckets)).otherwise(bucket_of).alias("_b"),
+
+    # 2. distinct values per (key, bucket) with their multiplicity; tied rows collapse
+    #    here, so a value shared by a third of all rows is one row from now on. Both the
+    #    offsets and the local ranks read it, so it is computed once.
+    bucketed = (
+        _join_null_safe(df.select(*partition, order), bounds, partition)
+        .select(*partition, order, F.when(v.isNull(), F.lit(buckets)).otherwise(bucket_of).alias("_b"))
+        .groupBy(*partition, "_b", order)
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
+    if checkpoint:
+        bucketed = materialize(bucketed)
 
     # 3. offsets of each bucket inside its key: (keys x buckets) rows
     before = Window.partitionBy(*partition).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,7 +111,8 @@ def rank_within(
         bucketed.select(*partition, order, "_b", local_rank.alias("_local")), offsets, [*partition, "_b"]
     ).select(*partition, order, (shift + F.col("_local")).cast("int").alias(out))
 
-    # 5. back to the rows
+    # 5. back to the rows (a skewed value is split by AQE's skew join: the ranked side
+    #    holds one row per value)
     return _join_null_safe(df, ranked, [*partition, order])
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, quality, rank, sales, upsert, weather
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 from ..sources import bindings
 from ..streaming import events
 from . import oracle as o
@@ -382,8 +382,9 @@ UNION ALL SELECT 'event_rejects', CAST(SUM(order_count) AS BIGINT), CAST(SUM(tot
   CAST(SUM(total_revenue) AS DECIMAL(38,2)) FROM gold WHERE order_month IS NULL OR category IS NULL""",
 )
 def q_control_totals(spark, sf):
-    enriched = retail.silver(spark, sf).enriched
-    gold = sales.monthly_category_sales(enriched)
+    # every layer derives from the enriched rows: compute them once
+    enriched = materialize(retail.silver(spark, sf).enriched)
+    gold = materialize(sales.monthly_category_sales(enriched))
     return quality.control_totals(
         {
             "silver": (enriched, None, "quantity", "net_sales"),
@@ -783,6 +784,7 @@ UNION ALL SELECT 'weather_foreign_key', COUNT(*) FROM weather w
 def q_constraint_checks(spark, sf):
     """The DDL constraints of both tables as counted violations (all zero when clean)."""
     t = weather_plan.load(spark, sf)
+    t = weather_plan.WeatherTables(t.located, t.location, materialize(t.weather))
     return quality.constraint_report(
         {
             "location_not_null": quality.null_violations(t.location, _LOC_COLS),

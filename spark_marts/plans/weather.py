@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import weather as w
 from ..operators.rank import number_rows
+from ..session import materialize
 from ..sources import bindings
 
 
@@ -40,8 +41,10 @@ def daily_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str, via_documents: bool = False) -> WeatherTables:
+    """Located rows feed both the place dimension and the fact, so they are
+    materialised once rather than aggregated from the events twice."""
     rows = rows_from_documents(spark, sf_dir) if via_documents else daily_rows(spark, sf_dir)
-    located = w.locate(rows, bindings.locations(spark, sf_dir))
+    located = materialize(w.locate(rows, bindings.locations(spark, sf_dir)))
     location = location_dimension(located)
     return WeatherTables(located, location, w.to_fact(located, location))
 

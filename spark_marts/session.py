@@ -84,3 +84,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def bench_session() -> SparkSession:
     cores = os.environ.get("BENCH_CPUS", "8")
     return local_session(cores=cores, shuffle_partitions=int(cores) * 2, driver_memory="16g")
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared
+    checkpoint directory.
+
+    Used where one derived frame feeds several branches of a plan. Exchange reuse cannot
+    be relied on there: column pruning gives each branch a different subplan, so the
+    upstream (scans, joins, aggregations) would otherwise run once per branch. A lost
+    executor does not lose the result, because it lives in shared storage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

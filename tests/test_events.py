@@ -65,3 +65,18 @@ def test_require_rows(spark):
     import pytest
     with pytest.raises(ValueError, match="empty"):
         events.require_rows(spark.range(0), "events")
+
+
+def test_watermark_dedupe_expires_state(spark, scratch):
+    import json
+    import os
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    rows = [{"event_id": "a", "ts": "2024-01-01 00:00:00"}, {"event_id": "a", "ts": "2024-01-01 00:00:05"},
+            {"event_id": "b", "ts": "2024-01-01 00:01:00"}]
+    with open(os.path.join(src, "1.json"), "w") as fh:
+        fh.write("\n".join(json.dumps(r) for r in rows))
+    stream = spark.readStream.schema("event_id string, ts timestamp").json(src)
+    out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
+    events.consume(events.dedupe_events(stream, event_time="ts", delay="1 hour"), out, ckpt)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "b"]

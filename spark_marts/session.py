@@ -97,3 +97,28 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of input (and
+    at least two per core) so no reducer has to hold more than it can spill. AQE then
+    coalesces small partitions and splits skewed ones. Broadcasts stay behind a size
+    threshold checked at runtime. Pass the result to ``SparkSession.builder.config``.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    target = f"{target_partition_bytes >> 20}m"
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": target,
+        "spark.sql.files.maxPartitionBytes": target,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": target,
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
+    }

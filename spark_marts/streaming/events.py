@@ -108,8 +108,26 @@ def read_first(spark: SparkSession, path: str, n: int) -> DataFrame:
     return from_messages(lines.orderBy("_file", "_pos").limit(n))
 
 
-def stream_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The topic as a stream of decoded events."""
+def stream_events(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    fmt: str = "text",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The topic as a stream of decoded events, from the earliest offset.
+
+    ``path`` is a folder of JSON lines, or with ``fmt="kafka"`` the topic name (broker
+    options in ``options``; needs the Kafka connector on the classpath).
+    """
+    if fmt == "kafka":
+        reader = (
+            spark.readStream.format("kafka")
+            .options(**(options or {}))
+            .option("subscribe", path)
+            .option("startingOffsets", "earliest")
+        )
+        return from_messages(reader.load().filter(F.col("value").isNotNull() & (F.length("value") > 0)))
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -25,3 +25,11 @@ def test_save_replaces_schema_and_counts_rows(spark):
     assert tables.sample(tables.read(spark, "save_test.t"), 1).count() == 1
     tables.drop(spark, "save_test.t")
     assert "t" not in tables.list_tables(spark, "save_test")
+
+
+def test_cluster_conf_sizes_partitions_from_input():
+    from spark_marts.session import cluster_conf
+    conf = cluster_conf(100 * 1024**4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    assert cluster_conf(1024**3, total_cores=8000)["spark.sql.shuffle.partitions"] == "16000"
+    assert conf["spark.sql.adaptive.enabled"] == "true"

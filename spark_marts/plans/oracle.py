@@ -207,7 +207,7 @@ def grid(key: str) -> tuple[str, str]:
     )
 
 
-def _daily_sql(where: str = "") -> str:
+def daily_sql(where: str = "") -> str:
     def dsum(cond: str | None = None) -> str:
         term = "CAST(value AS DECIMAL(12,2))"
         if cond:
@@ -255,7 +255,7 @@ DAILY_MEASURES = (
 _CLAT, _CLON = grid("c_custkey")
 
 WEATHER = f"""WITH
-daily_rows AS {_daily_sql()},
+daily_rows AS {daily_sql()},
 places AS (SELECT c_name AS name, {_CLAT} AS latitude, {_CLON} AS longitude FROM customer),
 located AS (
   SELECT p.name, d.latitude, d.longitude, d.day, {', '.join('d.' + c for c in DAILY_MEASURES)}

@@ -744,7 +744,7 @@ def _types_sql(types):
 
 @register(
     "upsert_fact",
-    f"""WITH target AS {o._daily_sql(_types_sql(FACT_OLD))}, updates AS {o._daily_sql(_types_sql(FACT_NEW))}
+    f"""WITH target AS {o.daily_sql(_types_sql(FACT_OLD))}, updates AS {o.daily_sql(_types_sql(FACT_NEW))}
 SELECT user_id, day, {', '.join(MEASURES)} FROM target t
 WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.user_id = t.user_id AND u.day = t.day)
 UNION ALL SELECT user_id, day, {', '.join(MEASURES)} FROM updates""",

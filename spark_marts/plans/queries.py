@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, quality, rank, sales, upsert, weather
 from ..session import materialize, shared_dir
 from ..sources import bindings
+from ..sources import raw as raw_sources
 from ..streaming import events
 from . import oracle as o
 from . import retail, sqlrun
@@ -69,6 +70,24 @@ ENRICHED_COLS = (
 ).split()
 
 
+def _via_csv(spark, raw, name):
+    path = shared_dir(spark, f"csv-{name}")
+    raw_sources.write_raw_csv(raw, path)
+    return raw_sources.read_raw_csv(spark, path)
+
+
+@register("csv_roundtrip_customers", f"{o.RETAIL} SELECT {', '.join(CUSTOMER_COLS)} FROM silver_customers")
+def q_csv_roundtrip_customers(spark, sf):
+    """S1 on the whole data: raw customers landed as CSV, scanned back untyped, cleaned."""
+    return clean.clean_customers(_via_csv(spark, bindings.raw_customers(spark, sf), "customers")).select(*CUSTOMER_COLS)
+
+
+@register("csv_roundtrip_orders", f"{o.RETAIL} SELECT {', '.join(ORDER_COLS)} FROM silver_orders")
+def q_csv_roundtrip_orders(spark, sf):
+    """S1 on the whole data: raw order lines landed as CSV, scanned back untyped, cleaned."""
+    return clean.clean_orders(_via_csv(spark, bindings.raw_orders(spark, sf), "orders")).select(*ORDER_COLS)
+
+
 @register("enriched_sales", f"{o.RETAIL} SELECT {', '.join(ENRICHED_COLS)} FROM enriched")
 def q_enriched_sales(spark, sf):
     return retail.silver(spark, sf).enriched.select(*ENRICHED_COLS)
@@ -516,6 +535,19 @@ def q_flatten_daily(spark, sf):
     return weather_plan.rows_from_documents(spark, sf, strict=True)
 
 
+@register(
+    "weather_json_roundtrip",
+    f"{o.WEATHER} SELECT latitude, longitude, day, {', '.join(MEASURES)} FROM daily_rows",
+)
+def q_weather_json_roundtrip(spark, sf):
+    """S7 on the whole data: documents landed as JSON files, scanned back against the
+    explicit schema (FAILFAST), validated and flattened."""
+    path = shared_dir(spark, "weather-json")
+    raw_sources.write_weather_documents(bindings.weather_documents(spark, sf), path)
+    docs = weather.validate_documents(raw_sources.read_weather_documents(spark, path, multiline=False))
+    return weather.flatten_daily(docs)
+
+
 @register(
     "document_checks",
     f"""{o.WEATHER}

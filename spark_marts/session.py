@@ -24,6 +24,9 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for error messages costs a JVM round trip per DataFrame call on
+    # the driver; batch jobs do not need it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -19,6 +19,17 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
 
 
+def write_raw_csv(df: DataFrame, path: str) -> None:
+    """Land a raw table as CSV with a header, values written exactly (no whitespace trim)."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def stamp_lineage(raw: DataFrame, source_file: str | None = None) -> DataFrame:
     """``source_file`` (the scanned file, or a given name) and ``ingestion_timestamp``."""
     src = F.lit(source_file) if source_file else F.col("_metadata.file_path")
@@ -76,3 +87,13 @@ def read_weather_documents(spark: SparkSession, path: str, multiline: bool = Tru
 def read_locations(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Reference list of named places."""
     return spark.read.schema(LOCATION_SCHEMA).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
+
+
+def write_weather_documents(docs: DataFrame, path: str) -> None:
+    """Land documents as JSON lines in the API's text format (instants without seconds)."""
+    (
+        docs.write.mode("overwrite")
+        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm")
+        .option("dateFormat", "yyyy-MM-dd")
+        .json(path)
+    )

@@ -216,7 +216,8 @@ def monthly_precipitation(joined: DataFrame) -> DataFrame:
 
 def windiest_week(joined: DataFrame) -> DataFrame:
     """M3: the ISO week (Monday start) with the highest mean daily maximum wind; ties kept."""
-    weekly = joined.groupBy(F.date_trunc("week", "day").cast("date").alias("week_start")).agg(
+    monday = F.date_sub(F.col("day"), (F.dayofweek("day") + 5) % 7)  # calendar arithmetic, no time zone
+    weekly = joined.groupBy(monday.alias("week_start")).agg(
         F.avg(_cents("wind_speed_10m_max")).alias("avg_wind_speed"),
         F.max("wind_speed_10m_max").alias("max_wind_speed"),
     )

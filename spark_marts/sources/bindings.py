@@ -221,8 +221,8 @@ def daily_measures(spark: SparkSession, sf_dir: str, event_types: list[str] | No
         dsum().alias("shortwave_radiation_sum"),
         (F.count(F.lit(1)).cast("double") / 10).alias("et0_fao_evapotranspiration"),
         (F.count(F.lit(1)) * 600).cast("double").alias("sunshine_duration"),
-        F.date_trunc("minute", F.max("ts")).cast("timestamp_ntz").alias("sunset"),
-        F.date_trunc("minute", F.min("ts")).cast("timestamp_ntz").alias("sunrise"),
+        _to_minute(F.max("ts")).alias("sunset"),
+        _to_minute(F.min("ts")).alias("sunrise"),
     )
     tmax, tmin = F.col("temperature_2m_max"), F.col("temperature_2m_min")
     return daily.select(
@@ -251,6 +251,11 @@ def daily_measures(spark: SparkSession, sf_dir: str, event_types: list[str] | No
     )
 
 
+def _to_minute(ts: Column) -> Column:
+    """Wall-clock instant truncated to the minute, without passing through a time zone."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.lit(0))
+
+
 # Measures of a daily document, in document order.
 DAILY_FIELDS = (
     "weather_code temperature_2m_mean temperature_2m_max temperature_2m_min "

@@ -3,7 +3,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from spark_marts.operators import upsert, weather
 from spark_marts.sources import raw

@@ -3,11 +3,9 @@
 A window ``PARTITION BY state`` over every customer puts all customers of a state into
 one task; with a handful of states that caps parallelism at the number of states and
 one hot state becomes a single giant sort. :func:`rank_within` therefore ranks in two
-levels: values are split into buckets at approximate quantiles per partition key,
-collapsed to distinct values with multiplicities (partial aggregation, so tied hot values
-cost nothing), ranked inside each (key, bucket), and shifted by the bucket offsets taken
-from a small (keys x buckets) summary. The result is the exact
-``rank()`` / ``dense_rank()``.
+levels: distinct values (ties collapsed by partial aggregation) are range-partitioned,
+ranked inside each (key, range), and shifted by offsets taken from a small per-range
+summary. The result is the exact ``rank()`` / ``dense_rank()``.
 """
 
 from __future__ import annotations
@@ -17,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import materialize
 
 
 def _order(col: str, descending: bool) -> Column:
@@ -47,15 +45,24 @@ def rank_within(
     descending: bool = True,
     out: str = "rank",
     buckets: int | None = None,
-    accuracy: int = 10000,
     checkpoint: bool = True,
 ) -> DataFrame:
     """Exact ``rank()``/``dense_rank()`` over ``(partition, order)``, skew-proof.
 
     NULL order values rank last, tied with each other, as ``DESC/ASC NULLS LAST``.
-    The input is read by several branches (distinct values, bounds, offsets, the final
-    join), so by default it is materialised once (:func:`~spark_marts.session.materialize`)
-    instead of recomputing its whole upstream per branch.
+
+    1. Rows collapse to distinct ``(key, value)`` pairs with their multiplicity (partial
+       aggregation: a value shared by a third of all rows becomes one row).
+    2. The pairs are range-partitioned on ``(key, value)`` into ``buckets`` ranges; the
+       range partitioner samples the bounds and places each pair by binary search, so
+       a key with a billion values is spread over many ranges. The range id is kept as
+       a column and the result is materialised (both later branches read it).
+    3. Per (key, range): rows and distinct values, turned into offsets by a running
+       sum over the ranges of each key (a small table: ranges + keys rows).
+    4. Inside each (key, range) a window ranks the values; adding the offset gives the
+       global rank.
+    5. Ranks join back to the rows on (key, value); the ranked side holds one row per
+       value, so a hot value is split by AQE's skew join.
     """
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unsupported ranking method {method!r}")
@@ -64,32 +71,17 @@ def rank_within(
         buckets = max(8, 2 * df.sparkSession.sparkContext.defaultParallelism)
     if checkpoint:
         df = materialize(df)
-    v = F.col(order)
 
-    # 1. bucket bounds at approximate quantiles of each key's values: one row per key
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = df.groupBy(*partition).agg(F.percentile_approx(order, fractions, accuracy).alias("_bounds"))
-    if descending:
-        bucket_of = F.size(F.filter("_bounds", lambda b: b > v))
-    else:
-        bucket_of = F.size(F.filter("_bounds", lambda b: b < v))
-
-    # 2. distinct values per (key, bucket) with their multiplicity; tied rows collapse
-    #    here, so a value shared by a third of all rows is one row from now on. Both the
-    #    offsets and the local ranks read it, so it is computed once.
-    bucketed = (
-        _join_null_safe(df.select(*partition, order), bounds, partition)
-        .select(*partition, order, F.when(v.isNull(), F.lit(buckets)).otherwise(bucket_of).alias("_b"))
-        .groupBy(*partition, "_b", order)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    pairs = df.groupBy(*partition, order).agg(F.count(F.lit(1)).alias("_n"))
+    ranges = pairs.repartitionByRange(
+        buckets, *[F.col(c).asc_nulls_first() for c in partition], _order(order, descending)
+    ).withColumn("_b", F.spark_partition_id())
     if checkpoint:
-        bucketed = materialize(bucketed)
+        ranges = materialize(ranges)
 
-    # 3. offsets of each bucket inside its key: (keys x buckets) rows
     before = Window.partitionBy(*partition).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(*partition, "_b")
+        ranges.groupBy(*partition, "_b")
         .agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_vals"))
         .select(
             *partition,
@@ -99,7 +91,6 @@ def rank_within(
         )
     )
 
-    # 4. rank inside (key, bucket), then shift by the bucket offset
     local = Window.partitionBy(*partition, "_b").orderBy(_order(order, descending))
     if method == "rank":
         local_rank = F.coalesce(F.sum("_n").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1
@@ -108,11 +99,9 @@ def rank_within(
         local_rank = F.row_number().over(local)
         shift = F.col("_vals_before")
     ranked = _join_null_safe(
-        bucketed.select(*partition, order, "_b", local_rank.alias("_local")), offsets, [*partition, "_b"]
+        ranges.select(*partition, order, "_b", local_rank.alias("_local")), offsets, [*partition, "_b"]
     ).select(*partition, order, (shift + F.col("_local")).cast("int").alias(out))
 
-    # 5. back to the rows (a skewed value is split by AQE's skew join: the ranked side
-    #    holds one row per value)
     return _join_null_safe(df, ranked, [*partition, order])
 
 
@@ -174,14 +163,15 @@ def number_rows(df: DataFrame, order: Sequence[str], start: Column | int = 0, ou
     A global ``row_number()`` moves every row into one task. Here the rows are range
     partitioned and sorted, each partition counts its rows, a running sum over those
     per-partition counts (one row per partition) gives each partition's offset, and a row's
-    number is offset + position. The sorted frame is checkpointed to the shared checkpoint
-    directory, so both uses see the same partitioning and lost executors do not renumber.
+    number is offset + position. The sorted, tagged frame is written to the shared
+    checkpoint folder first, so both uses see the same numbering and lost executors do not
+    renumber.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = (
-        df.orderBy(*order)
-        .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
-        .checkpoint(eager=True)
+    tagged = materialize(
+        df.orderBy(*order).select(
+            "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
+        ),
+        "numbered",
     )
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tagged.groupBy("_pid").agg(

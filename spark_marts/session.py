@@ -89,17 +89,20 @@ def bench_session() -> SparkSession:
     return local_session(cores=cores, shuffle_partitions=int(cores) * 2, driver_memory="16g")
 
 
-def materialize(df):
-    """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared
-    checkpoint directory.
+def materialize(df, name: str = "stage"):
+    """Compute ``df`` once and cut its lineage by writing it to the shared checkpoint folder.
 
     Used where one derived frame feeds several branches of a plan. Exchange reuse cannot
     be relied on there: column pruning gives each branch a different subplan, so the
-    upstream (scans, joins, aggregations) would otherwise run once per branch. A lost
-    executor does not lose the result, because it lives in shared storage.
+    upstream (scans, joins, aggregations) would otherwise run once per branch. A written
+    Parquet table is produced by a single job (``Dataset.checkpoint`` would run the plan
+    twice, once to count and once to save), carries real file sizes for AQE's broadcast
+    decisions, and survives lost executors because it lives in shared storage.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:

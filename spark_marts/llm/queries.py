@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from . import lines, topk
+from .decontam import op3_decontamination
 from .langid import op8_langid
+from .lines import op9_line_dedup
+from .neardup import op5_near_dup
+from .packing import op10_packing
 from .pii import op1_pii
+from .topk import op4_topk
 from .toxicity import op7_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_pii, op7_toxicity, op8_langid)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op4_topk, op5_near_dup, op7_toxicity, op8_langid, op9_line_dedup, op10_packing)}
+ORACLE: dict[str, str] = {"op4_topk": topk.ORACLE_SQL, "op9_line_dedup": lines.ORACLE_SQL}

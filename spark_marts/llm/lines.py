@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .common import arrow_schema, as_table, block_docs, blocks_for, by_group, mix, split_by, table, text_bytes
+from .common import arrow_schema, as_table, blocks_for, by_group, mix, split_by, table, text_bytes
 
 BLANK = " \t\n\r\x0b\x0c"
 LEAST = 10

@@ -6,11 +6,13 @@ from . import lines, topk
 from .decontam import op3_decontamination
 from .langid import op8_langid
 from .lines import op9_line_dedup
+from .lm import op6_lm_score
 from .neardup import op5_near_dup
 from .packing import op10_packing
 from .pii import op1_pii
+from .substrings import op2_substring_dedup
 from .topk import op4_topk
 from .toxicity import op7_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op4_topk, op5_near_dup, op7_toxicity, op8_langid, op9_line_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substring_dedup, op3_decontamination, op4_topk, op5_near_dup, op6_lm_score, op7_toxicity, op8_langid, op9_line_dedup, op10_packing)}
 ORACLE: dict[str, str] = {"op4_topk": topk.ORACLE_SQL, "op9_line_dedup": lines.ORACLE_SQL}

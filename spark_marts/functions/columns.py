@@ -13,8 +13,13 @@ EXCLUDED_STATUSES = ("PENDING", "CANCELLED")
 
 
 def try_cast(column: str | Column, data_type: str) -> Column:
-    """Cast that turns malformed input into NULL, also under ANSI mode."""
+    """Cast that turns malformed input into NULL, also under ANSI mode.
+
+    A zone in the text counts: ``timestamp_ntz`` holds the instant's time in the session zone (UTC).
+    """
     col = F.col(column) if isinstance(column, str) else column
+    if data_type == "timestamp_ntz":
+        return col.try_cast("timestamp").cast("timestamp_ntz")
     return col.try_cast(data_type)
 
 

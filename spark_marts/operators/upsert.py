@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .clean import latest_by_key
 from .rank import number_rows
 
 
@@ -20,15 +21,17 @@ def upsert_dimension(
     updates: DataFrame,
     keys: Sequence[str],
     surrogate: str,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Natural-key upsert with surrogate ids.
 
     Existing keys keep their id and take the update's other attributes; keys not yet in
     the target get ids after the current maximum, numbered in key order. The numbering
-    is distributed (:func:`number_rows`), not a global window. ``updates`` must hold one
-    row per key.
+    is distributed (:func:`number_rows`), not a global window. Of updates that repeat a key
+    the last one by ``order`` counts (ties: the greatest other columns).
     """
     keys = list(keys)
+    updates = latest_by_key(updates, keys, order).drop(*order)
     attrs = [c for c in updates.columns if c not in keys]
     t = target.alias("t")
     u = updates.alias("u")
@@ -49,9 +52,13 @@ def upsert_dimension(
     return kept.select(*cols).unionByName(numbered.select(*cols))
 
 
-def upsert_fact(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``updates`` replace target rows with the same key; others are kept."""
+def upsert_fact(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``updates`` replace target rows with the same key; others are kept.
+
+    Of updates that repeat a key the last one by ``order`` counts (ties: the greatest other columns).
+    """
     keys = list(keys)
+    updates = latest_by_key(updates, keys, order)
     untouched = target.join(updates.select(*keys), keys, "left_anti")
     return untouched.unionByName(updates.select(*target.columns))
 

@@ -173,8 +173,8 @@ def q_top_products(spark, sf):
 
 @register("rank_products", TOP_PRODUCTS_SQL)
 def q_rank_products(spark, sf):
-    """The SQL twin (A7 + W4) run through the script runner."""
-    return sqlrun.run_script(spark, "rank_products_by_category", retail.views(spark, sf))
+    """A7 + W4 through the generic ranked totals; no window holds a whole category."""
+    return sales.ranked_totals(retail.silver(spark, sf).enriched, ["category"], ["product_id", "product_name"], "rank", "revenue_rank")
 
 
 @register(
@@ -219,7 +219,12 @@ def q_dense_rank_customers(spark, sf):
     f"{o.RETAIL}, {PER_CUSTOMER_SQL} SELECT * FROM ranked_customers WHERE state_rank <= 3",
 )
 def q_top3_customers_state(spark, sf):
-    return sqlrun.run_script(spark, "top_customers_per_state", retail.views(spark, sf))
+    """A6 + W8 through the generic ranked totals."""
+    ranked = sales.ranked_totals(
+        retail.silver(spark, sf).enriched, ["state"], ["customer_id", "customer_name"], "dense_rank", "state_rank",
+        measures={"order_count": F.count(F.lit(1)), "lifetime_revenue": F.sum("net_sales")}, by="lifetime_revenue", k=3,
+    )
+    return ranked
 
 
 @register(
@@ -401,10 +406,15 @@ UNION ALL SELECT 'event_rejects', CAST(SUM(order_count) AS BIGINT), CAST(SUM(tot
   CAST(SUM(total_revenue) AS DECIMAL(38,2)) FROM gold WHERE order_month IS NULL OR category IS NULL""",
 )
 def q_control_totals(spark, sf):
-    # every layer derives from the enriched rows: compute them once
-    enriched = materialize(retail.silver(spark, sf).enriched)
+    return _control_totals(spark, sf)[0]
+
+
+def _control_totals(spark, sf):
+    """The control totals, and the number of event rows that the revenue tolerance goes by."""
+    # every layer derives from the enriched rows: compute the columns they need once
+    enriched = materialize(retail.silver(spark, sf).enriched.select("quantity", "net_sales", "category", "order_month"))
     gold = materialize(sales.monthly_category_sales(enriched))
-    return quality.control_totals(
+    totals = quality.control_totals(
         {
             "silver": (enriched, None, "quantity", "net_sales"),
             "gold": (gold, "order_count", "total_quantity", "total_revenue"),
@@ -412,6 +422,7 @@ def q_control_totals(spark, sf):
             "event_rejects": (events.event_rejects(gold), "order_count", "total_quantity", "total_revenue"),
         }
     )
+    return totals, events.build_events(gold).count()
 
 
 RAW_CUSTOMER_COLS = CUSTOMER_COLS
@@ -421,6 +432,7 @@ def _profile_sql(src: str, cols, types: dict[str, str]) -> str:
     duck = {"date": "DATE", "timestamp_ntz": "TIMESTAMP", "int": "INTEGER"}
     parts = []
     for c in cols:
+        typed = f"TRY_CAST({c} AS {duck[types[c]]})" if c in types else c
         bad = (
             f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {duck[types[c]]}) IS NULL)"
             if c in types
@@ -428,8 +440,8 @@ def _profile_sql(src: str, cols, types: dict[str, str]) -> str:
         )
         parts.append(
             f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, {bad} AS bad_type_count, "
-            f"COUNT(DISTINCT {c}) AS distinct_count, CAST(MIN({c}) AS VARCHAR) AS min_value, "
-            f"CAST(MAX({c}) AS VARCHAR) AS max_value FROM {src}"
+            f"COUNT(DISTINCT {c}) AS distinct_count, CAST(MIN({typed}) AS VARCHAR) AS min_value, "
+            f"CAST(MAX({typed}) AS VARCHAR) AS max_value FROM {src}"
         )
     return " UNION ALL ".join(parts)
 
@@ -767,27 +779,44 @@ def q_upsert_dimension(spark, sf):
     return upsert.upsert_dimension(target, updates, ["latitude", "longitude"], "location_id")
 
 
-FACT_OLD, FACT_NEW = ["click", "view", "purchase"], ["purchase", "signup", "error"]
-
-
-def _types_sql(types):
-    return "WHERE event_type IN (" + ", ".join(f"'{t}'" for t in types) + ")"
+# Two deliveries that together cover every event and overlap between 06:00 and 12:00.
+FACT_OLD, FACT_NEW = "extract(hour FROM ts) < 12", "extract(hour FROM ts) >= 6"
 
 
 @register(
     "upsert_fact",
-    f"""WITH target AS {o.daily_sql(_types_sql(FACT_OLD))}, updates AS {o.daily_sql(_types_sql(FACT_NEW))}
+    f"""WITH target AS {o.daily_sql("WHERE " + FACT_OLD)}, updates AS {o.daily_sql("WHERE " + FACT_NEW)}
 SELECT user_id, day, {', '.join(MEASURES)} FROM target t
 WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.user_id = t.user_id AND u.day = t.day)
 UNION ALL SELECT user_id, day, {', '.join(MEASURES)} FROM updates""",
 )
 def q_upsert_fact(spark, sf):
-    """A later, differently composed delivery of daily rows replaces matching (place, day) rows."""
+    """A later delivery of daily rows (afternoons, part of the mornings) replaces matching (place, day) rows."""
     target = bindings.daily_measures(spark, sf, FACT_OLD)
     updates = bindings.daily_measures(spark, sf, FACT_NEW)
     return upsert.upsert_fact(target, updates, ["user_id", "day"])
 
 
+_REPEATS_SQL = f"""base AS {o.daily_sql()},
+target AS (SELECT user_id, day, temperature_2m_max AS value FROM base),
+deliveries AS (SELECT user_id, day, 1 AS delivery, temperature_2m_min AS value FROM base
+  UNION ALL SELECT user_id, day, 2, temperature_2m_mean FROM base WHERE temperature_2m_mean > 10)"""
+
+
+@register(
+    "upsert_fact_repeats",
+    f"""WITH {_REPEATS_SQL}
+SELECT user_id, day, value FROM deliveries QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY delivery DESC) = 1""",
+)
+def q_upsert_fact_repeats(spark, sf):
+    """S13 with repeated keys: of two deliveries for one (place, day) the last wins."""
+    base = bindings.daily_measures(spark, sf)
+    target = base.select("user_id", "day", F.col("temperature_2m_max").alias("value"))
+    first = base.select("user_id", "day", F.lit(1).alias("delivery"), F.col("temperature_2m_min").alias("value"))
+    second = base.where("temperature_2m_mean > 10").select("user_id", "day", F.lit(2), F.col("temperature_2m_mean"))
+    return upsert.upsert_fact(target, first.union(second), ["user_id", "day"], order=["delivery"])
+
+
 @register("key_lookup", f"{o.WEATHER} SELECT * FROM weather WHERE location_id = 1")
 def q_key_lookup(spark, sf):
     """Every day of one place (the Weather lookup returns all its rows)."""
@@ -847,5 +876,18 @@ def q_count_check(spark, sf):
     f"""{o.RETAIL} SELECT CAST(NULL AS VARCHAR) AS check_name, CAST(NULL AS BOOLEAN) AS passed WHERE false""",
 )
 def q_control_totals_check(spark, sf):
-    """Silver = Gold, and events + rejected rows = Gold (cents per event); no row = pass."""
-    return quality.control_total_mismatches(q_control_totals(spark, sf))
+    """Silver = Gold, and events + rejected rows = Gold (half a cent per event); no row = pass."""
+    totals, event_rows = _control_totals(spark, sf)
+    return quality.control_total_mismatches(totals, event_rows)
+
+
+@register(
+    "control_totals_damaged",
+    "SELECT * FROM (VALUES ('events_vs_gold_revenue', false)) AS t(check_name, passed)",
+)
+def q_control_totals_damaged(spark, sf):
+    """D4 over a damaged copy: two cents lost per event must be reported at every size."""
+    totals, event_rows = _control_totals(spark, sf)
+    lost = F.when(F.col("layer") == "events", F.col("revenue") - F.lit(event_rows).cast("decimal(20,0)") * F.lit("0.02").cast("decimal(3,2)"))
+    damaged = totals.withColumn("revenue", F.coalesce(lost, F.col("revenue")).cast(totals.schema["revenue"].dataType))
+    return quality.control_total_mismatches(damaged, event_rows)

@@ -13,7 +13,6 @@ Every raw retail column is a string, as a CSV read without schema inference give
 
 from __future__ import annotations
 
-import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,17 +26,9 @@ TABLES = (
 ).split()
 
 
-_SCANS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a shared (read-only) table. The resolved scan is reused per session, which
-    saves the file listing and footer read when many queries start from the same table."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    scans = _SCANS.setdefault(spark, {})
-    if path not in scans:
-        scans[path] = spark.read.parquet(path)
-    return scans[path]
+    """Scan of a shared (read-only) table; files are listed anew each time."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(col: Column) -> Column:
@@ -56,9 +47,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     tenth customer. Some older versions carry an unparseable ``updated_at``, some tie
     with the current version, all are active, so dedupe-before-filter matters."""
     customer = read_table(spark, sf_dir, "customer")
-    # nation (25 rows) and region (5 rows) are fixed-size reference tables.
-    nation = F.broadcast(read_table(spark, sf_dir, "nation"))
-    region = F.broadcast(read_table(spark, sf_dir, "region"))
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
     base = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(
         region, nation.n_regionkey == region.r_regionkey
     )
@@ -189,16 +179,15 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.select(F.col("c_name").alias("name"), grid_latitude(key), grid_longitude(key))
 
 
-def daily_measures(spark: SparkSession, sf_dir: str, event_types: list[str] | None = None) -> DataFrame:
+def daily_measures(spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
     """One row per (place, day) from the event stream: the daily weather series.
 
     Sums are taken over exact decimals and only then turned into doubles, so results
-    do not depend on summation order. ``event_types`` restricts the feed (a partial
-    delivery, used to build an older version of the series).
+    do not depend on summation order. ``where`` restricts the feed to one delivery.
     """
     events = read_table(spark, sf_dir, "events")
-    if event_types:
-        events = events.filter(F.col("event_type").isin(*event_types))
+    if where:
+        events = events.filter(where)
     value = F.col("value")
     dec = value.cast("decimal(12,2)")
 

@@ -101,11 +101,12 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_first(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The first ``n`` messages of a file topic in publish order (file, then line)."""
+    """The first ``n`` messages of a file topic in publish order (time of the file, file, line)."""
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos")
+        "value", F.col("_metadata.file_modification_time").alias("_at"),
+        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"),
     )
-    return from_messages(lines.orderBy("_file", "_pos").limit(n))
+    return from_messages(lines.orderBy("_at", "_file", "_pos").limit(n))
 
 
 def stream_events(

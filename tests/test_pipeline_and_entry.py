@@ -18,6 +18,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_listed():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
+    assert {n for n in set(q) - set(o) if not n.startswith("op") and n != "pipeline"} == set()
 
 
 def test_pipeline_end_to_end(spark):

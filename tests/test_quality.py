@@ -93,7 +93,7 @@ def test_control_total_check_catches_a_lost_layer(spark):
     rows = [("silver", 10, 20, Decimal("100.00")), ("gold", 10, 20, Decimal("100.00")),
             ("events", 8, 16, Decimal("80.00")), ("event_rejects", 2, 4, Decimal("20.00"))]
     schema = "layer string, orders bigint, units bigint, revenue decimal(38,2)"
-    assert quality.control_total_mismatches(spark.createDataFrame(rows, schema)).count() == 0
+    assert quality.control_total_mismatches(spark.createDataFrame(rows, schema), 1).count() == 0
     broken = rows[:3] + [("event_rejects", 1, 4, Decimal("20.00"))]
-    bad = {r.check_name for r in quality.control_total_mismatches(spark.createDataFrame(broken, schema)).collect()}
+    bad = {r.check_name for r in quality.control_total_mismatches(spark.createDataFrame(broken, schema), 1).collect()}
     assert bad == {"events_vs_gold_orders"}

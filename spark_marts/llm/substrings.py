@@ -89,7 +89,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     """Suffixes of ``s`` (symbols 0..256) in order, by Larsson-Sadakane refinement."""
     n, reach = len(s), 7
     key = packed(s, reach, 9)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.append(True, key[order][1:] != key[order][:-1])
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
@@ -101,7 +101,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
             return order
         at = order[left]
         ahead = rank[np.minimum(at + reach, n)]
-        by = np.lexsort((ahead, rank[at]))
+        by = np.argsort(rank[at] * (n + 1) + ahead)
         order[left], ahead = at[by], ahead[by]
         group = rank[order[left]]
         split = np.append(True, (group[1:] != group[:-1]) | (ahead[1:] != ahead[:-1]))
@@ -297,9 +297,12 @@ def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame
         cols: dict = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
         for doc, raw, own in rows:
             covers = np.zeros(len(raw) + 1, np.int32)
-            for first, p in own:
-                hit = np.flatnonzero(least[p] < doc) + first
-                covers[hit] += 1
+            if own:
+                hit = np.flatnonzero(np.concatenate([least[p] for _, p in own]) < doc)
+                ends = np.cumsum([len(p) - WINDOW + 1 for _, p in own])
+                piece = np.searchsorted(ends, hit, "right")
+                hit = hit + np.array([f for f, _ in own])[piece] - np.append(0, ends)[piece]
+                covers[hit] += 1  # windows are distinct
                 covers[hit + WINDOW] -= 1
             gone = np.cumsum(covers)[:-1] > 0
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())

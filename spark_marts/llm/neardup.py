@@ -6,9 +6,10 @@ and of each minimum the low two bits are kept, packed into longs, from which the
 estimated, corrected for chance agreement of two bits, by counting bits. Links are confirmed on full
 sets: size of the intersection against that of the union.
 
-No bucket is paired out. First every member of a bucket is compared with its smallest member. Where
-that leaves a bucket in several components, its members outside the largest one are compared with
-all members in other components, so no link of a bucket that could join components is left out.
+No bucket is paired out. In a turn every member of a bucket is compared with one pivot, and links merge
+components; turns with other pivots follow while the pairs that remain are many (over ENOUGH for each
+member). Then, in buckets that still have several components, members outside the largest one are
+compared with all members in other components, so no link that could join two is left out.
 With 32 bands of 5, a pair at similarity 0.8 meets in some bucket with probability 1 - 3e-6, and the
 estimate keeps it with probability over 1 - 1e-5.
 
@@ -34,6 +35,7 @@ from .common import WordHashes, map_texts, mix, table, texts_of, words_of
 HASHES, ROWS, LONGS = 160, 5, 5  # 32 minima of 2 bits to a long
 BANDS = HASHES // ROWS
 MOST_DIFFER = 44  # pairs at 0.8 differ in 24 of 160 minima on average, with a deviation of 4.5
+ENOUGH, TURNS = 16, 8
 MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,12 +98,18 @@ def differing(a: str, b: str):
     return total
 
 
-def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (u < v) whose sizes and estimated similarity allow a link."""
-    at = lambda c: classes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("low").alias(f"low_{c}"))
-    rows = pairs.join(at("u"), "u").join(at("v"), "v")
-    size = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent
-    return rows.where(size & (differing("low_u", "low_v") <= MOST_DIFFER)).select("u", "v").distinct()
+def likely(held: DataFrame, split: DataFrame, every: bool, percent: int) -> DataFrame:
+    """Distinct pairs (u < v) of a bucket in different components, of sizes and estimates that allow a link.
+
+    ``every``: members outside the largest component against all others; else all against the pivot.
+    """
+    side = lambda c: [F.col("component").alias(f"c{c}"), *(F.col(k).alias(f"{k}_{c}") for k in ("rep", "n", "low"))]
+    chosen = F.col("top.component") != F.col("component") if every else F.col("pivot.rep") == F.col("rep")
+    x = held.join(split.select("band", "key", "top", "pivot"), ["band", "key"]).where(chosen).select("band", "key", *side("x"))
+    y = held.join(split.select("band", "key"), ["band", "key"], "left_semi").select("band", "key", *side("y"))
+    near = (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent) & (differing("low_x", "low_y") <= MOST_DIFFER)
+    rows = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & (F.col("cx") != F.col("cy")) & near)
+    return rows.select(F.least("rep_x", "rep_y").alias("u"), F.greatest("rep_x", "rep_y").alias("v")).distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,21 +162,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     flat = texts_of(docs)
     sets = materialize(map_texts(flat.join(wanted, flat.doc_id == wanted.rep, "left_semi"), "rep long, own binary", make), "sets")
     signs = classes.select("rep", "n", "low").join(wanted, "rep", "left_semi")
-    star = members.where("rep <> first").select(F.col("first").alias("u"), F.col("rep").alias("v")).distinct()
-    links = materialize(confirmed(likely(star, signs, percent), sets, percent), "links")
-    found = components(links)
-
-    held = members.join(found, "rep", "left").select("band", "key", "rep", F.coalesce("component", "rep").alias("component"))
-    held = materialize(held, "held")
-    sizes = held.groupBy("band", "key", "component").agg(F.count("*").alias("size"))
-    split = sizes.groupBy("band", "key").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top")).where("parts > 1")
-    open_ = held.join(split.select("band", "key", F.col("top.component").alias("top")), ["band", "key"])
-    x = open_.where("component <> top").select("band", "key", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    y = open_.select("band", "key", F.col("rep").alias("y"), F.col("component").alias("cy"))
-    rest = x.join(y, ["band", "key"]).where("cx <> cy").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-    more = materialize(confirmed(likely(rest.join(star, ["u", "v"], "left_anti"), signs, percent), sets, percent), "links")
-    if not more.isEmpty():
-        found = components(links.union(more))
+    signs = classes.select("rep", "n", "low").join(wanted, "rep", "left_semi")
+    entries = materialize(members.select("band", "key", "rep").join(signs, "rep"), "entries")
+    found = signs.select("rep", F.col("rep").alias("component"))
+    links = tested = None
+    for turn in range(TURNS):
+        held = materialize(entries.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "held")
+        parts = held.groupBy("band", "key", "component").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("by"), "rep")).alias("pivot"))
+        split = parts.groupBy("band", "key").agg(F.count("*").alias("parts"), F.sum("size").alias("total"), F.max(F.struct("size", "component")).alias("top"), F.min(F.struct("pivot.by", "pivot.rep", "component")).alias("pivot"))
+        split = materialize(split.where("parts > 1"), "split")
+        every, total = split.agg(F.sum((F.col("total") - F.col("top.size")) * F.col("total")), F.sum("total")).first()
+        if not every:
+            break
+        last = every <= ENOUGH * total or turn == TURNS - 1
+        pairs = likely(held, split, every=last, percent=percent)
+        pairs = materialize(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        more = materialize(confirmed(pairs, sets, percent), "links")
+        links = more if links is None else links.union(more)
+        if last and more.isEmpty():
+            break
+        found = components(links)
+        if last:
+            break
 
     of_class = classes.select("s1", "s2", "rep").join(found, "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     joined = rows.select("doc_id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left")

@@ -7,8 +7,9 @@ estimated, corrected for chance agreement of two bits, by counting bits. Links a
 sets: size of the intersection against that of the union.
 
 No bucket is paired out. In a turn every member of a bucket is compared with one pivot, and links merge
-components; turns with other pivots follow while the pairs that remain are many (over ENOUGH for each
-member). Then, in buckets that still have several components, members outside the largest one are
+components: first with the member that meets most others over all its buckets (the original among its
+variants, which need not be similar to each other), then, while the pairs that remain are many (over
+ENOUGH for each member), with another. Then, in buckets that still have several components, members outside the largest one are
 compared with all members in other components, so no link that could join two is left out.
 With 32 bands of 5, a pair at similarity 0.8 meets in some bucket with probability 1 - 3e-6, and the
 estimate keeps it with probability over 1 - 1e-5.
@@ -35,7 +36,7 @@ from .common import WordHashes, map_texts, mix, table, texts_of, words_of
 HASHES, ROWS, LONGS = 160, 5, 5  # 32 minima of 2 bits to a long
 BANDS = HASHES // ROWS
 MOST_DIFFER = 44  # pairs at 0.8 differ in 24 of 160 minima on average, with a deviation of 4.5
-ENOUGH, TURNS = 16, 8
+ENOUGH, TURNS = 16, 3
 MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,7 +107,7 @@ def likely(held: DataFrame, split: DataFrame, every: bool, percent: int) -> Data
     side = lambda c: [F.col("component").alias(f"c{c}"), *(F.col(k).alias(f"{k}_{c}") for k in ("rep", "n", "low"))]
     chosen = F.col("top.component") != F.col("component") if every else F.col("pivot.rep") == F.col("rep")
     x = held.join(split.select("band", "key", "top", "pivot"), ["band", "key"]).where(chosen).select("band", "key", *side("x"))
-    y = held.join(split.select("band", "key"), ["band", "key"], "left_semi").select("band", "key", *side("y"))
+    y = held.select("band", "key", *side("y"))
     near = (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent) & (differing("low_x", "low_y") <= MOST_DIFFER)
     rows = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & (F.col("cx") != F.col("cy")) & near)
     return rows.select(F.least("rep_x", "rep_y").alias("u"), F.greatest("rep_x", "rep_y").alias("v")).distinct()
@@ -152,7 +153,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low"))
     classes = materialize(classes, "classes")
     entries = classes.select("rep", F.posexplode("bands").alias("band", "key"))
-    buckets = entries.groupBy("band", "key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last").select("band", "key", "first")
+    buckets = entries.groupBy("band", "key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count("*").alias("held")).where("first < last").select("band", "key", "held")
     members = materialize(entries.join(buckets, ["band", "key"]), "members")
     wanted = members.select("rep").distinct()
 
@@ -161,15 +162,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     flat = texts_of(docs)
     sets = materialize(map_texts(flat.join(wanted, flat.doc_id == wanted.rep, "left_semi"), "rep long, own binary", make), "sets")
-    signs = classes.select("rep", "n", "low").join(wanted, "rep", "left_semi")
-    signs = classes.select("rep", "n", "low").join(wanted, "rep", "left_semi")
+    degree = members.groupBy("rep").agg(F.sum("held").alias("degree"))
+    signs = classes.select("rep", "n", "low").join(degree, "rep")
+    degree = members.groupBy("rep").agg(F.sum("held").alias("degree"))
+    signs = classes.select("rep", "n", "low").join(degree, "rep")
     entries = materialize(members.select("band", "key", "rep").join(signs, "rep"), "entries")
     found = signs.select("rep", F.col("rep").alias("component"))
     links = tested = None
     for turn in range(TURNS):
         held = materialize(entries.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "held")
-        parts = held.groupBy("band", "key", "component").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("by"), "rep")).alias("pivot"))
-        split = parts.groupBy("band", "key").agg(F.count("*").alias("parts"), F.sum("size").alias("total"), F.max(F.struct("size", "component")).alias("top"), F.min(F.struct("pivot.by", "pivot.rep", "component")).alias("pivot"))
+        parts = held.groupBy("band", "key", "component").agg(F.count("*").alias("size"), F.max(F.struct((F.lit(0).cast("long") if turn else F.col("degree")).alias("degree"), F.xxhash64("rep", F.lit(turn)).alias("by"), "rep")).alias("pivot"))
+        split = parts.groupBy("band", "key").agg(F.count("*").alias("parts"), F.sum("size").alias("total"), F.max(F.struct("size", "component")).alias("top"), F.max("pivot").alias("pivot"))
         split = materialize(split.where("parts > 1"), "split")
         every, total = split.agg(F.sum((F.col("total") - F.col("top.size")) * F.col("total")), F.sum("total")).first()
         if not every:

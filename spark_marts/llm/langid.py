@@ -26,6 +26,7 @@ from .common import is_held_out, map_texts, table
 
 ROWS_PER_LANG = 1500
 PROFILE = 400
+SALTS = 64  # parts of a language that are ranked apart, so that a frequent one is not one task's work
 SPACE = 32
 
 
@@ -77,8 +78,11 @@ def learn(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> Profiles:
     """Counts n-grams of the sample in Spark; PROFILE n-grams a language reach the driver."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     ids = ids.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(~is_held_out(0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= rows_per_lang).select(F.col("doc_id").alias("id"), "lang")
+    ids = ids.withColumn("by", F.xxhash64("doc_id")).withColumn("salt", F.pmod("by", F.lit(SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):  # the first of a language are among the first of its salts
+        order = Window.partitionBy(*keys).orderBy("by", "doc_id")
+        ids = ids.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= rows_per_lang).drop("nth")
+    ids = ids.select(F.col("doc_id").alias("id"), "lang")
     text = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     sample = text.join(F.broadcast(ids.distinct()), ["id", "lang"]).select("lang", "text")
 

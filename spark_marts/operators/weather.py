@@ -87,7 +87,7 @@ def locate(rows: DataFrame, places: DataFrame, precision: int | None = None) ->
 
 
 def unmatched_places(places: DataFrame, rows: DataFrame) -> DataFrame:
-    return places.join(rows.select("latitude", "longitude"), ["latitude", "longitude"], "left_anti")
+    return places.join(rows.select("latitude", "longitude").distinct(), ["latitude", "longitude"], "left_anti")
 
 
 def unmatched_rows(rows: DataFrame, places: DataFrame) -> DataFrame:

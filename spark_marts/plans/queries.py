@@ -576,7 +576,23 @@ def q_document_checks(spark, sf):
     )
 
 
-@register("locate_weather", f"{o.WEATHER} SELECT * FROM located")
+@register(
+    "document_checks_damaged",
+    f"""{o.WEATHER}
+SELECT COUNT(*) AS documents, COUNT(*) FILTER (WHERE month(m) % 2 = 0) AS bad_documents
+FROM (SELECT DISTINCT user_id, date_trunc('month', day) AS m FROM daily_rows)""",
+)
+def q_document_checks_damaged(spark, sf):
+    """D8 over a damaged copy: documents of even months lack their rain array."""
+    docs = bindings.weather_documents(spark, sf)
+    none = F.lit(None).cast(docs.schema["daily"].dataType["rain_sum"].dataType)
+    even = F.month(F.get(F.col("daily.time"), F.lit(0))) % 2 == 0
+    docs = docs.withColumn("daily", F.col("daily").withField("rain_sum", F.when(~even, F.col("daily.rain_sum")).otherwise(none)))
+    bad = weather.document_problems(docs)
+    return docs.agg(F.count(F.lit(1)).alias("documents")).crossJoin(bad.agg(F.count(F.lit(1)).alias("bad_documents")))
+
+
+@register("locate_weather",f"{o.WEATHER} SELECT * FROM located")
 def q_locate_weather(spark, sf):
     return weather_plan.load(spark, sf).located
 
@@ -871,6 +887,42 @@ def q_count_check(spark, sf):
     return quality.count_check(raw_orders, retail.to_bronze(raw_orders, "sales_orders.csv"), "sales_orders")
 
 
+@register(
+    "constraint_checks_damaged",
+    f"""{o.WEATHER}
+SELECT 'location_name_length' AS check_name, COUNT(*) AS violations FROM location
+UNION ALL SELECT 'weather_not_null', COUNT(*) FROM weather WHERE day(day) = 3
+UNION ALL SELECT 'weather_primary_key', COUNT(*) FROM weather WHERE day(day) = 1
+UNION ALL SELECT 'weather_foreign_key', COUNT(*) FROM weather WHERE day(day) = 2""",
+)
+def q_constraint_checks_damaged(spark, sf):
+    """D9 over damaged copies: names too long, rows of first days twice, unknown places on second, no rain on third days."""
+    t = weather_plan.load(spark, sf)
+    date, rain = F.dayofmonth("day"), F.col("rain_sum")
+    rows = t.weather.withColumn("rain_sum", F.when(date != 3, rain)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(date == 1, 2).otherwise(1))))
+    rows = materialize(rows.withColumn("location_id", F.when(date == 2, -F.col("location_id")).otherwise(F.col("location_id"))).drop("copy"))
+    return quality.constraint_report(
+        {
+            "location_name_length": quality.length_violations(t.location.withColumn("name", F.rpad("name", 40, "x")), "name", 32),
+            "weather_not_null": quality.null_violations(rows, ["location_id", "day", *MEASURES]),
+            "weather_primary_key": quality.key_violations(rows, ["location_id", "day"]),
+            "weather_foreign_key": quality.foreign_key_violations(rows, t.location, ["location_id"]),
+        }
+    )
+
+
+@register(
+    "count_check_damaged",
+    f"""{o.RETAIL}
+SELECT 'sales_orders' AS table_name, a AS source_rows, b AS loaded_rows, a = b AS counts_match
+FROM (SELECT COUNT(*) AS a, COUNT(*) FILTER (WHERE quantity <> '1') AS b FROM raw_orders)""",
+)
+def q_count_check_damaged(spark, sf):
+    """D3 over a damaged copy: the load lost the orders of one piece."""
+    raw_orders = bindings.raw_orders(spark, sf)
+    return quality.count_check(raw_orders, retail.to_bronze(raw_orders.where("quantity <> '1'"), "sales_orders.csv"), "sales_orders")
+
+
 @register(
     "control_totals_check",
     f"""{o.RETAIL} SELECT CAST(NULL AS VARCHAR) AS check_name, CAST(NULL AS BOOLEAN) AS passed WHERE false""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import weather as w
 from ..operators.rank import number_rows
@@ -20,8 +21,9 @@ class WeatherTables:
 
 
 def location_dimension(located: DataFrame) -> DataFrame:
-    """Load into an empty Location table: ids 1..n in (latitude, longitude) order."""
-    return number_rows(w.distinct_places(located), ["latitude", "longitude"], start=0, out="location_id").select(
+    """Load into an empty Location table: ids 1..n in (latitude, longitude) order, the first name of a coordinate."""
+    places = located.groupBy("latitude", "longitude").agg(F.min("name").alias("name"))
+    return number_rows(places, ["latitude", "longitude"], start=0, out="location_id").select(
         "location_id", "name", "latitude", "longitude"
     )
 
@@ -45,6 +47,8 @@ def load(spark: SparkSession, sf_dir: str, via_documents: bool = False) -> Weath
     materialised once rather than aggregated from the events twice."""
     rows = rows_from_documents(spark, sf_dir) if via_documents else daily_rows(spark, sf_dir)
     located = materialize(w.locate(rows, bindings.locations(spark, sf_dir)))
+    if located.isEmpty():
+        raise ValueError("no weather row lies at a known place")
     location = location_dimension(located)
     return WeatherTables(located, location, w.to_fact(located, location))
 

@@ -37,6 +37,11 @@ def save(
     ``partition_by`` gives later readers partition pruning (e.g. sales by ``order_month``);
     ``bucket_by=(n, keys)`` pre-shuffles by key so joins on it skip the exchange.
     """
+    # one task a bucket, and few tasks a partition value (AQE splits the large ones): else each task writes a file for each
+    if bucket_by:
+        df = df.repartition(bucket_by[0], *bucket_by[1])
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     obs = Observation(f"save:{name}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if partition_by:

@@ -33,3 +33,14 @@ def test_cluster_conf_sizes_partitions_from_input():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
     assert cluster_conf(1024**3, total_cores=8000)["spark.sql.shuffle.partitions"] == "16000"
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_partitioned_and_bucketed_saves_write_few_files(spark):
+    tables.ensure_namespace(spark, "files_test")
+    rows = spark.range(0, 4000, 1, 16).selectExpr("id", "id % 10 AS month")
+    tables.save(rows, "files_test.months", partition_by=["month"])
+    tables.save(rows, "files_test.buckets", bucket_by=(4, ["id"]))
+    files = {t: len(tables.read(spark, f"files_test.{t}").inputFiles()) for t in ("months", "buckets")}
+    counts = [tables.read(spark, f"files_test.{t}").distinct().count() for t in ("months", "buckets")]
+    tables.drop(spark, "files_test.months", "files_test.buckets")
+    assert files == {"months": 10, "buckets": 4} and counts == [4000, 4000]

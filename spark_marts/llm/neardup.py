@@ -3,8 +3,9 @@
 A document's set holds its distinct ``shingle``-word sequences (hashed to 64 bits). Equal sets are one
 class from the start. Every class gets HASHES minima; bands of ROWS minima give candidate
 buckets, and of each minimum the low two bits are kept, packed into longs, from which the similarity is
-estimated, corrected for chance agreement of two bits, by counting bits. Links are confirmed on full
-sets: size of the intersection against that of the union.
+estimated, corrected for chance agreement of two bits, by counting bits. A parity sketch (512 bits, each the parity of the
+shingles that fall on it) then bounds the sets' difference from below, so it drops only pairs that
+cannot be links. Links are confirmed on full sets: size of the intersection against that of the union.
 
 No bucket is paired out. In a turn every member of a bucket is compared with one pivot, and links merge
 components: first with the member that meets most others over all its buckets (the original among its
@@ -34,6 +35,7 @@ from ..session import materialize
 from .common import WordHashes, map_texts, mix, table, texts_of, words_of
 
 HASHES, ROWS, LONGS = 160, 5, 5  # 32 minima of 2 bits to a long
+ODD = 8  # longs of the parity sketch
 BANDS = HASHES // ROWS
 MOST_DIFFER = 44  # pairs at 0.8 differ in 24 of 160 minima on average, with a deviation of 4.5
 ENOUGH, TURNS = 16, 3
@@ -76,18 +78,25 @@ def sketch(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bands.astype(np.int64), np.bitwise_or.reduce(bits, 1).astype(np.int64)
 
 
+def parities(own: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set; that of a symmetric difference is the two sketches' XOR."""
+    bits = (np.bincount((own >> np.uint64(55)).astype(np.int64), minlength=64 * ODD) & 1).astype(np.uint64)
+    return np.bitwise_or.reduce(bits.reshape(ODD, 64) << np.arange(64, dtype=np.uint64), 1).astype(np.int64)
+
+
 def sketches(docs: DataFrame, size: int) -> DataFrame:
     def make(ids, texts):
-        cols: dict = {"doc_id": ids, "n": [], "s1": [], "s2": [], "bands": [], "low": []}
+        cols: dict = {"doc_id": ids, "n": [], "s1": [], "s2": [], "bands": [], "low": [], "odd": []}
         for t in texts:
             own = shingles(t, size)
             bands, low = sketch(own) if len(own) else ((), ())
             s1, s2 = np.frombuffer(xxh3_128_digest(own.tobytes()), np.int64)
-            for name, value in zip(("n", "s1", "s2", "bands", "low"), (len(own), s1, s2, bands, low), strict=True):
+            odd = parities(own) if len(own) else ()
+            for name, value in zip(("n", "s1", "s2", "bands", "low", "odd"), (len(own), s1, s2, bands, low, odd), strict=True):
                 cols[name].append(value)
         return cols
 
-    return map_texts(docs, "doc_id long, n long, s1 long, s2 long, bands array<long>, low array<long>", make)
+    return map_texts(docs, "doc_id long, n long, s1 long, s2 long, bands array<long>, low array<long>, odd array<long>", make)
 
 
 def differing(a: str, b: str):
@@ -99,16 +108,22 @@ def differing(a: str, b: str):
     return total
 
 
+def least_difference(a: str, b: str):
+    """At least so many shingles are in one set only."""
+    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(ODD)), F.lit(0))
+
+
 def likely(held: DataFrame, split: DataFrame, every: bool, percent: int) -> DataFrame:
     """Distinct pairs (u < v) of a bucket in different components, of sizes and estimates that allow a link.
 
     ``every``: members outside the largest component against all others; else all against the pivot.
     """
-    side = lambda c: [F.col("component").alias(f"c{c}"), *(F.col(k).alias(f"{k}_{c}") for k in ("rep", "n", "low"))]
+    side = lambda c: [F.col("component").alias(f"c{c}"), *(F.col(k).alias(f"{k}_{c}") for k in ("rep", "n", "low", "odd"))]
     chosen = F.col("top.component") != F.col("component") if every else F.col("pivot.rep") == F.col("rep")
     x = held.join(split.select("band", "key", "top", "pivot"), ["band", "key"]).where(chosen).select("band", "key", *side("x"))
     y = held.select("band", "key", *side("y"))
     near = (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent) & (differing("low_x", "low_y") <= MOST_DIFFER)
+    near = near & (least_difference("odd_x", "odd_y") * (100 + percent) <= (F.col("n_x") + F.col("n_y")) * (100 - percent))
     rows = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & (F.col("cx") != F.col("cy")) & near)
     return rows.select(F.least("rep_x", "rep_y").alias("u"), F.greatest("rep_x", "rep_y").alias("v")).distinct()
 
@@ -166,7 +181,7 @@ def merged(found: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per row of ``docs``."""
     rows = materialize(sketches(docs, shingle), "sketches")
-    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low"))
+    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low"), F.first("odd").alias("odd"))
     classes = materialize(classes, "classes")
     entries = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = entries.groupBy("band", "key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count("*").alias("held")).where("first < last").select("band", "key", "held")
@@ -179,7 +194,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     flat = texts_of(docs)
     sets = materialize(map_texts(flat.join(wanted, flat.doc_id == wanted.rep, "left_semi"), "rep long, own binary", make), "sets")
     degree = members.groupBy("rep").agg(F.sum("held").alias("degree"))
-    signs = classes.select("rep", "n", "low").join(degree, "rep")
+    signs = classes.select("rep", "n", "low", "odd").join(degree, "rep")
     entries = materialize(members.select("band", "key", "rep").join(signs, "rep"), "entries")
     found = classes.select("rep", F.col("rep").alias("component")).where("false")
     tested = None

@@ -339,3 +339,12 @@ def test_packer_keeps_the_sum_of_squares_small_and_drains():
         for doc, _, ids, _ in window:
             total[doc] += len(ids) // 4
     assert [total[i] for i in range(300)] == sizes.tolist()
+
+
+def test_parity_sketch_never_exceeds_the_difference():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        base = rng.integers(0, 2**63, rng.integers(1, 400), dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([base, rng.integers(0, 2**63, rng.integers(0, 200), dtype=np.uint64)])) for _ in "ab")
+        odd = int(np.bitwise_count((neardup.parities(a) ^ neardup.parities(b)).view(np.uint64)).sum())
+        assert odd <= len(np.setxor1d(a, b)) and odd % 2 == len(np.setxor1d(a, b)) % 2

@@ -10,7 +10,8 @@ cannot be links. Links are confirmed on full sets: size of the intersection agai
 No bucket is paired out. In a turn every member of a bucket is compared with one pivot, and links merge
 components: first with the member that meets most others over all its buckets (the original among its
 variants, which need not be similar to each other), then, while the pairs that remain are many (over
-ENOUGH for each member), with another. Then, in buckets that still have several components, members outside the largest one are
+ENOUGH for each member), with another. Buckets of one component, and pairs once compared, are
+done. Then, in buckets that still have several components, members outside the largest one are
 compared with all members in other components, so no link that could join two is left out.
 With 32 bands of 5, a pair at similarity 0.8 meets in some bucket with probability 1 - 3e-6, and the
 estimate keeps it with probability over 1 - 1e-5.
@@ -215,6 +216,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             found = merged(found, more)
         if last:
             break
+        entries = held.drop("component").join(split.where("total > 2").select("band", "key"), ["band", "key"], "left_semi")
 
     of_class = classes.select("s1", "s2", "rep").join(found, "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     joined = rows.select("doc_id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left")

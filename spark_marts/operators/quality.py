@@ -8,6 +8,8 @@ afterwards. Nothing is collected except the final handful of numbers.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -223,3 +225,52 @@ def control_total_mismatches(totals: DataFrame, event_rows: int, tolerance: str
     ]
     rows = [[F.lit(name), F.coalesce(ok, F.lit(False))] for name, ok in checks]
     return _unpack(wide, rows, ["check_name", "passed"]).filter(~F.col("passed"))
+
+
+def mismatches(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    exact: Sequence[str],
+    tolerant: Mapping[str, str] | None = None,
+    names: tuple[str, str] = ("left", "right"),
+) -> DataFrame:
+    """Keys on which two results disagree, with both sides' values and a reason.
+
+    Both sides are tagged, unioned and grouped by ``keys`` in one shuffle, so NULL keys meet
+    each other. ``exact`` values must be equal (NULL equals NULL); ``tolerant`` ones may be so
+    far apart. A key that one side holds more than once is reported as ``repeated_key``.
+    """
+    tolerant = dict(tolerant or {})
+    values = [*exact, *tolerant]
+
+    def side(df: DataFrame, at: int) -> DataFrame:
+        struct = F.struct(F.lit(1).alias("present"), *values)
+        return df.select(*keys, *[(struct if i == at else F.lit(None)).alias(n) for i, n in enumerate(names)])
+
+    a, b = (F.col(f"_{n}") for n in names)
+    rows = side(left, 0).unionByName(side(right, 1)).groupBy(*keys).agg(
+        *[F.max(n).alias(f"_{n}") for n in names],
+        F.greatest(*[F.count(n) for n in names]).alias("_copies"),
+    )
+    close = [F.coalesce(F.abs(a[v] - b[v]) <= F.lit(by).cast("decimal(18,6)"), a[v].isNull() & b[v].isNull()) for v, by in tolerant.items()]
+    same = reduce(and_, [*[a[v].eqNullSafe(b[v]) for v in exact], *close])
+    reason = (
+        F.when(F.col("_copies") > 1, "repeated_key")
+        .when(a.isNull(), f"only_in_{names[1]}")
+        .when(b.isNull(), f"only_in_{names[0]}")
+        .when(~same, "values_differ")
+    )
+    pairs = [c[v].alias(f"{n}_{v}") for v in values for n, c in zip(names, (a, b), strict=True)]
+    return rows.select(*keys, *pairs, reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def layer_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
+    """Rows of each table by layer (``{layer: {table: frame}}``), NULL where a layer lacks the table."""
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(table).alias("table_name"), F.lit(layer).alias("layer"), "n")
+        for layer, frames in layers.items()
+        for table, df in frames.items()
+    ]
+    columns = [F.max(F.when(F.col("layer") == layer, F.col("n"))).alias(f"{layer}_rows") for layer in layers]
+    return reduce(DataFrame.unionByName, counted).groupBy("table_name").agg(*columns)

@@ -18,7 +18,7 @@ from ..sources import tables
 from ..sources.raw import stamp_lineage
 from ..streaming import events
 from . import sqlrun
-from .retail import gold
+from .retail import gold, monthly_mismatches
 
 RAW_NAMES = ("customers", "products", "sales_orders")
 
@@ -67,7 +67,11 @@ def build_layers(
 
 
 def check_layers(spark: SparkSession, namespace: str, report: RunReport) -> None:
-    recon = sqlrun.run_script(spark, "monthly_matches_gold", ns=f"{namespace}.")
+    t = lambda n: tables.read(spark, tables.qualified(namespace, n))
+    recon = monthly_mismatches(
+        sales.enrich_sales(t("silver_sales_orders"), t("silver_customers"), t("silver_products")),
+        t("gold_monthly_category_sales"),
+    )
     report.checks = sqlrun.run_checks({"monthly_matches_gold": recon})
 
 

@@ -265,27 +265,51 @@ FROM enriched GROUP BY order_month, category"""
 
 @register("sql_monthly_summary", MONTHLY_SUMMARY_SQL)
 def q_sql_monthly_summary(spark, sf):
-    return sqlrun.run_script(spark, "monthly_sales_summary", retail.views(spark, sf))
+    return sales.monthly_summary(retail.silver(spark, sf).enriched)
 
 
-@register(
-    "recon_monthly",
-    f"""{o.RETAIL}, s AS (
+def recon_sql(gold: str) -> str:
+    """Disagreements between the monthly summary ``s`` and ``gold``, a query over ``s``."""
+    both = ", ".join(f"s.{m} AS sql_{m}, g.{m} AS gold_{m}" for m in ("order_count", "total_quantity", "total_revenue"))
+    return f"""{o.RETAIL}, s AS (
   SELECT order_month, category, COUNT(*) AS order_count, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
     CAST(SUM(net_sales) AS DECIMAL(38,8)) AS total_revenue
-  FROM enriched GROUP BY order_month, category)
-SELECT coalesce(s.order_month, g.order_month) AS order_month, coalesce(s.category, g.category) AS category,
-  s.order_count AS sql_order_count, g.order_count AS gold_order_count,
-  s.total_quantity AS sql_total_quantity, g.total_quantity AS gold_total_quantity,
-  s.total_revenue AS sql_total_revenue, g.total_revenue AS gold_total_revenue,
-  'value_mismatch' AS failure_reason
-FROM s FULL OUTER JOIN s AS g ON s.order_month IS NOT DISTINCT FROM g.order_month
-  AND s.category IS NOT DISTINCT FROM g.category
-WHERE s.order_count IS NULL OR g.order_count IS NULL OR s.order_count <> g.order_count""",
-)
+  FROM enriched GROUP BY order_month, category), g AS ({gold})
+SELECT * FROM (
+  SELECT coalesce(s.order_month, g.order_month) AS order_month, coalesce(s.category, g.category) AS category, {both},
+    CASE WHEN s.order_count IS NULL THEN 'only_in_gold' WHEN g.order_count IS NULL THEN 'only_in_sql'
+         WHEN s.order_count <> g.order_count OR s.total_quantity IS DISTINCT FROM g.total_quantity
+           OR coalesce(abs(s.total_revenue - g.total_revenue) > 0.01, s.total_revenue IS DISTINCT FROM g.total_revenue)
+         THEN 'values_differ' END AS reason
+  FROM s FULL OUTER JOIN g ON s.order_month IS NOT DISTINCT FROM g.order_month
+    AND s.category IS NOT DISTINCT FROM g.category)
+WHERE reason IS NOT NULL"""
+
+
+@register("recon_monthly", recon_sql("SELECT * FROM s"))
 def q_recon_monthly(spark, sf):
-    """The zero-row reconciliation; a pass returns no row."""
-    return sqlrun.run_script(spark, "monthly_matches_gold", retail.views(spark, sf))
+    """The zero-row reconciliation of summary and mart; a pass returns no row."""
+    enriched = retail.silver(spark, sf).enriched
+    return retail.monthly_mismatches(enriched, sales.monthly_category_sales(enriched))
+
+
+@register(
+    "recon_monthly_damaged",
+    recon_sql("""SELECT order_month, category, order_count + CASE WHEN order_month LIKE '%-03' THEN 1 ELSE 0 END AS order_count,
+    total_quantity, CAST(total_revenue + CASE WHEN order_month LIKE '%-05' THEN 0.02 WHEN order_month LIKE '%-06' THEN 0.01 ELSE 0 END
+      AS DECIMAL(38,8)) AS total_revenue
+  FROM s WHERE order_month IS NULL OR order_month NOT LIKE '%-07'"""),
+)
+def q_recon_monthly_damaged(spark, sf):
+    """D6 over a mart that lacks every July, miscounts March and is two cents off in May (June's one cent is allowed)."""
+    enriched = retail.silver(spark, sf).enriched
+    gold, month = sales.monthly_category_sales(enriched), F.col("order_month")
+    off = F.when(month.like("%-05"), F.lit("0.02")).when(month.like("%-06"), F.lit("0.01")).otherwise(F.lit("0")).cast("decimal(4,2)")
+    gold = gold.withColumns({
+        "order_count": F.col("order_count") + F.when(month.like("%-03"), 1).otherwise(0),
+        "total_revenue": (F.col("total_revenue") + off).cast("decimal(38,8)"),
+    })
+    return retail.monthly_mismatches(enriched, gold.where(month.isNull() | ~month.like("%-07")))
 
 
 @register(
@@ -298,7 +322,10 @@ UNION ALL SELECT 'sales_orders', (SELECT COUNT(*) FROM raw_orders), (SELECT COUN
 UNION ALL SELECT 'enriched_sales', CAST(NULL AS BIGINT), (SELECT COUNT(*) FROM enriched)""",
 )
 def q_layer_counts(spark, sf):
-    return sqlrun.run_script(spark, "layer_counts", retail.views(spark, sf))
+    v = retail.views(spark, sf)
+    names = ("customers", "products", "sales_orders")
+    bronze = {n: v[f"bronze_{n}"] for n in names}
+    return quality.layer_counts({"bronze": bronze, "silver": {n: v[f"silver_{n}"] for n in (*names, "enriched_sales")}})
 
 
 # ---------------------------------------------------------------------------- quality

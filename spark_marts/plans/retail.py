@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from ..operators import clean, sales
+from ..operators.quality import mismatches
 from ..sources import bindings
 from ..sources.raw import stamp_lineage
 
@@ -103,3 +104,11 @@ def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "silver_enriched_sales": s.enriched,
         "gold_monthly_category_sales": sales.monthly_category_sales(s.enriched),
     }
+
+
+def monthly_mismatches(enriched: DataFrame, gold_monthly: DataFrame) -> DataFrame:
+    """Months and categories on which the monthly summary and the Gold mart disagree (a cent is allowed)."""
+    return mismatches(
+        sales.monthly_summary(enriched), gold_monthly, ["order_month", "category"],
+        exact=["order_count", "total_quantity"], tolerant={"total_revenue": "0.01"}, names=("sql", "gold"),
+    )

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spark_marts.operators import quality
+from spark_marts.operators.quality import layer_counts, mismatches
 from spark_marts.plans import retail, sqlrun
 
 
@@ -57,15 +58,27 @@ def test_zero_row_contract(spark):
 
 def test_reconciliation_passes_then_catches_a_broken_gold(spark):
     views = retail.views(spark, "/root/testdata/sf0.001")
-    assert sqlrun.run_script(spark, "monthly_matches_gold", views).count() == 0
-    gold = views["gold_monthly_category_sales"]
+    enriched, gold = views["silver_enriched_sales"], views["gold_monthly_category_sales"]
+    assert retail.monthly_mismatches(enriched, gold).count() == 0
     broken = gold.withColumn(
         "total_revenue", F.when(F.col("order_month") == "1996-01", F.col("total_revenue") + 1).otherwise(F.col("total_revenue"))
     ).withColumn("order_count", F.when(F.col("order_month") == "1997-01", F.lit(0)).otherwise(F.col("order_count")))
     broken = broken.filter(F.col("order_month") != "1998-01")
-    views["gold_monthly_category_sales"] = broken
-    reasons = {r.failure_reason for r in sqlrun.run_script(spark, "monthly_matches_gold", views).collect()}
-    assert reasons == {"value_mismatch", "missing_in_gold"}
+    reasons = {r.reason for r in retail.monthly_mismatches(enriched, broken).collect()}
+    assert reasons == {"values_differ", "only_in_sql"}
+
+
+def test_mismatches_pairs_null_keys_and_reports_repeats(spark):
+    schema = "k string, n long, x decimal(10,2)"
+    a = spark.createDataFrame([(None, 1, None), ("a", 1, None), ("b", 2, None), ("c", 3, None)], schema)
+    b = spark.createDataFrame([(None, 1, None), ("a", 2, None), ("b", 2, None), ("b", 2, None), ("d", 3, None)], schema)
+    got = {r.k: r.reason for r in mismatches(a, b, ["k"], ["n"], {"x": "0.01"}).collect()}
+    assert got == {"a": "values_differ", "b": "repeated_key", "c": "only_in_left", "d": "only_in_right"}
+
+
+def test_layer_counts_of_empty_and_absent_tables(spark):
+    rows = layer_counts({"raw": {"t": spark.range(3)}, "clean": {"t": spark.range(0), "u": spark.range(2)}}).collect()
+    assert {r.table_name: (r.raw_rows, r.clean_rows) for r in rows} == {"t": (3, 0), "u": (None, 2)}
 
 
 def test_statement_splitter():

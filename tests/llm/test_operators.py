@@ -216,6 +216,11 @@ def test_lm_base_score_and_probability(docs, empty):
     assert lm.score_documents(empty).count() == 0
 
 
+def test_every_training_document_trains_the_network_by_default(docs):
+    scores = lambda **share: by_row(lm.score_documents(docs, rounds=1, **share), "doc_id", "score")
+    assert scores() == scores(train_share=1) != scores(train_share=16)
+
+
 def test_gradient_matches_differences():
     rng = np.random.default_rng(0)
     net = lm.Gru.start(np.ones(lm.CLASSES))

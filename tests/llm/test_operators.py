@@ -241,6 +241,33 @@ def test_gradient_matches_differences():
         assert np.allclose(a, b, atol=1e-4)
 
 
+def test_word_given_class_follows_the_state(spark):
+    rows = [(i, "bat cat bat cat hat") for i in range(40)] + [(100, "cat bat"), (101, "bat cat"), (102, "cat zat"), (103, "zat cat")]
+    ids = lm.ids_of("bat cat zat")[:3]
+    assert len({int(i) >> 57 for i in ids}) == 1 and len(set(lm.slots_of(ids[:2]).tolist())) == 2
+    score = {r.doc_id: r.score for r in lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    assert abs(score[100] - score[101]) > 1e-3 and abs(score[102] - score[103]) > 1e-3
+
+
+def test_word_softmax_sums_to_one_and_its_gradient_matches_differences():
+    rng = np.random.default_rng(3)
+    net = lm.Gru(rng.normal(0, 0.3, len(lm.Gru.start(np.ones(lm.CLASSES)).flat)))
+    mass = rng.integers(0, 5, (lm.CLASSES, lm.SLOTS)) + 0.5
+    h = rng.normal(0, 1, (lm.SLOTS, lm.HIDDEN))
+    same, every = np.repeat(h[:1], lm.SLOTS, 0), np.arange(lm.SLOTS)
+    assert abs((np.exp(net.word_softmax(same, np.full(lm.SLOTS, 5), every, mass)) * mass[5]).sum() - 1) < 1e-9
+    ids = [rng.integers(0, 5, 9).astype(np.uint64) << np.uint64(57) | rng.integers(0, 1 << 56, 9).astype(np.uint64) for _ in range(3)]
+    seqs, slots = [(i >> np.uint64(57)).astype(np.int16) for i in ids], [lm.slots_of(i) for i in ids]
+    x, y, fresh, placed = lm.lanes_of(seqs, 2)
+    g, _ = net.gradient(x, y, fresh, np.zeros((2, lm.HIDDEN)), lm.laid_out(slots, placed, y), mass)
+    loss = lambda flat: -sum(p.sum(dtype=np.float64) for p in lm.class_scores(lm.Gru(flat), seqs, slots, mass)) / sum(map(len, seqs))
+    at_w = len(g) - net.w.size
+    for i in [*np.argsort(-np.abs(g))[:10], *(at_w + np.argsort(-np.abs(g[at_w:]))[:10])]:
+        step = np.zeros(len(g))
+        step[i] = 1e-3
+        assert abs((loss(net.flat + step) - loss(net.flat - step)) / 2e-3 - g[i]) < 1e-3
+
+
 def test_toxicity(spark, empty):
     rng = np.random.default_rng(1)
     rows, labels = [], []

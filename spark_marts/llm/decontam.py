@@ -1,8 +1,9 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts are lower-cased and runs of white space become one space. An item is sought whole, or, beyond
-``LONG`` characters, as overlapping segments, within an edit budget of k = RATE of its length. A
-text region within k edits of a segment of m characters shares at least m + 1 - Q * (k + 1) of its
+``LONG`` characters, as overlapping segments, and besides, beyond ``PIECE`` characters, in overlapping
+pieces (a passage of PIECE + HOP - 1 characters holds one), each within an edit budget of k = RATE of
+its length. A text region within k edits of a segment of m characters shares at least m + 1 - Q * (k + 1) of its
 q-grams with it, on diagonals at most k apart; so shared q-grams are counted in bands of 2 (k + 1)
 diagonals that overlap by half, bands that reach the bound are retained, and a banded
 alignment inside the band verifies them.
@@ -12,8 +13,8 @@ is sent); documents pass once for each chunk and nothing is shuffled.
 
 Defined cases: null or empty text matches nothing; items that are null or have fewer than ``LEAST``
 characters are not sought; repeated items or rows give a row each; a null doc_id or item_id is passed
-on; a document in several matches of one item gives one row, with the fewest edits (ties: the
-earliest); other columns are ignored, or kept by ``drop_contaminated``.
+on; a document in several matches of one item gives one row, of the whole item or a segment before a
+piece, with the fewest edits (ties: the earliest); other columns are ignored, or kept by ``drop_contaminated``.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ Q = 9
 RATE = 0.08
 LEAST = 20
 LONG, SEGMENT, STRIDE = 240, 120, 60
+PIECE, HOP = 60, 30
 TABLE_BITS = 22
 CHUNK_CHARS = 16 << 20
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -73,16 +75,17 @@ class Items:
     """Segments of a benchmark chunk and the postings of their q-grams."""
 
     def __init__(self, items: list[tuple]):
-        self.item, self.segments = [], []
+        self.item, self.segments, self.piece = [], [], []
         for item, text in items:
             a = codes(normal(text or ""))
             if len(a) < LEAST:
                 continue
-            starts = [0] if len(a) <= LONG else [*range(0, len(a) - SEGMENT, STRIDE), len(a) - SEGMENT]
-            size = len(a) if len(a) <= LONG else SEGMENT
-            for s in starts:
+            spans = [(0, len(a))] if len(a) <= LONG else [(s, SEGMENT) for s in (*range(0, len(a) - SEGMENT, STRIDE), len(a) - SEGMENT)]
+            pieces = [(s, PIECE) for s in (*range(0, len(a) - PIECE, HOP), len(a) - PIECE)] if len(a) > PIECE else []
+            for s, size in spans + pieces:
                 self.item.append(item)
                 self.segments.append(a[s : s + size])
+            self.piece += [False] * len(spans) + [True] * len(pieces)
         sizes = np.array([len(s) for s in self.segments], np.int64)
         self.budget = (sizes * RATE).astype(np.int64)
         self.bound = np.maximum(1, sizes + 1 - Q * (self.budget + 1))
@@ -135,8 +138,9 @@ class Items:
                 out[s] = min(out.get(s, (k + 1, 0)), (edits, min(start + end, len(a))))
         best: dict = {}
         for s, hit in sorted(out.items()):
+            hit = (self.piece[s], *hit)
             best[self.item[s]] = min(best.get(self.item[s], hit), hit)
-        return best
+        return {item: hit[1:] for item, hit in best.items()}
 
 
 def chunks(benchmark: DataFrame, chunk_chars: int):

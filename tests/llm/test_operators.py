@@ -127,6 +127,17 @@ def test_decontamination(spark, docs, empty):
     assert by_row(several, "doc_id", "item_id") == [(0, 1), (1, 1), (3, 2)]
 
 
+def test_passages_of_items_of_every_length_are_found(spark):
+    items = {n: prose(n, 80)[:n] for n in (100, 150, 200, 240, 241, 400)}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    around = prose(900, 40), prose(901, 40)
+    cases = [(n * 10 + i, f"{around[0]} {part} {around[1]}") for n, t in items.items() for i, part in enumerate((t[:90], t[-90:], t[5:97].replace("a", "o", 1)))]
+    lined = items[240]
+    cases += [(1, f"{around[0]}\n{lined[:100]}\n{lined[140:]}\n{around[1]}"), (2, f"{around[0]} {lined[:45]} {around[1]}")]  # inner line gone; too short
+    leaks = decontam.find_leaks(spark.createDataFrame(cases, "doc_id long, text string"), bench)
+    assert by_row(leaks, "doc_id", "item_id") == sorted([(d, d // 10) for d, _ in cases[:-2]] + [(1, 240)], key=str)
+
+
 def test_banded_alignment_equals_full_table():
     rng = np.random.default_rng(8)
     for _ in range(60):

@@ -3,16 +3,16 @@
 Texts are lower-cased and runs of white space become one space. An item is sought whole, or, beyond
 ``LONG`` characters, as overlapping segments, and besides, beyond ``PIECE`` characters, in overlapping
 pieces (a passage of PIECE + HOP - 1 characters holds one), each within an edit budget of k = RATE of
-its length. A text region within k edits of a segment of m characters shares at least m + 1 - Q * (k + 1) of its
+its length; items of fewer than ``LEAST`` characters are sought verbatim. A text region within k edits of a segment of m characters shares at least m + 1 - Q * (k + 1) of its
 q-grams with it, on diagonals at most k apart; so shared q-grams are counted in bands of 2 (k + 1)
 diagonals that overlap by half, bands that reach the bound are retained, and a banded
-alignment inside the band verifies them.
+alignment inside the band verifies them. Where that bound falls below 1 (25 and 26 characters),
+q-grams of one character less are counted.
 
 The benchmark travels to the tasks in chunks of at most ``chunk_chars`` characters (the bound of what
 is sent); documents pass once for each chunk and nothing is shuffled.
 
-Defined cases: null or empty text matches nothing; items that are null or have fewer than ``LEAST``
-characters are not sought; repeated items or rows give a row each; a null doc_id or item_id is passed
+Defined cases: null or empty text matches nothing; items that are null or blank are not sought; repeated items or rows give a row each; a null doc_id or item_id is passed
 on; a document in several matches of one item gives one row, of the whole item or a segment before a
 piece, with the fewest edits (ties: the earliest); other columns are ignored, or kept by ``drop_contaminated``.
 """
@@ -44,14 +44,20 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def gram_hashes(a: np.ndarray) -> np.ndarray:
-    """Hashes of the Q characters from each position on, by doubling (1, 2, 4, 8, and one more)."""
-    if len(a) < Q:
+def bound_of(size, budget, q: int):
+    return size + 1 - q * (budget + 1)
+
+
+def gram_hashes(a: np.ndarray, q: int = Q) -> np.ndarray:
+    """Hashes of the q (Q or Q - 1) characters from each position on, by doubling (1, 2, 4, 8, and one more)."""
+    if len(a) < q:
         return np.empty(0, np.uint64)
     h, power = a.astype(np.uint64) + np.uint64(1), MUL
     for n in (1, 2, 4):
         h = h[:-n] * power + h[n:]
         power = np.uint64(int(power) ** 2 & 0xFFFFFFFFFFFFFFFF)
+    if q < Q:
+        return h
     return h[: len(a) - Q + 1] * MUL + a[Q - 1 :]
 
 
@@ -74,11 +80,17 @@ def banded_edits(segment: np.ndarray, region: np.ndarray) -> tuple[int, int]:
 class Items:
     """Segments of a benchmark chunk and the postings of their q-grams."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], q: int = Q):
+        self.q, self.short, narrow = q, {}, []
         self.item, self.segments, self.piece = [], [], []
         for item, text in items:
             a = codes(normal(text or ""))
             if len(a) < LEAST:
+                if len(a):
+                    self.short.setdefault(len(a), {}).setdefault(normal(text), []).append(item)
+                continue
+            if q == Q and bound_of(len(a), int(len(a) * RATE), Q) < 1:
+                narrow.append((item, text))
                 continue
             spans = [(0, len(a))] if len(a) <= LONG else [(s, SEGMENT) for s in (*range(0, len(a) - SEGMENT, STRIDE), len(a) - SEGMENT)]
             pieces = [(s, PIECE) for s in (*range(0, len(a) - PIECE, HOP), len(a) - PIECE)] if len(a) > PIECE else []
@@ -86,10 +98,11 @@ class Items:
                 self.item.append(item)
                 self.segments.append(a[s : s + size])
             self.piece += [False] * len(spans) + [True] * len(pieces)
+        self.narrow = Items(narrow, Q - 1) if narrow else None
         sizes = np.array([len(s) for s in self.segments], np.int64)
         self.budget = (sizes * RATE).astype(np.int64)
-        self.bound = np.maximum(1, sizes + 1 - Q * (self.budget + 1))
-        hashes = [gram_hashes(s) for s in self.segments]
+        self.bound = np.maximum(1, bound_of(sizes, self.budget, q))
+        hashes = [gram_hashes(s, q) for s in self.segments]
         flat = np.concatenate([*hashes, np.empty(0, np.uint64)])
         order = np.argsort(flat, kind="stable")
         self.grams, self.first = np.unique(flat[order], return_index=True)
@@ -105,16 +118,35 @@ class Items:
 
     def matches(self, text: str) -> dict:
         """item number -> (edits, end) of its best match; positions in the normalised text."""
-        a = codes(normal(text))
-        h = gram_hashes(a)
+        text = normal(text)
+        a = codes(text)
+        hits = [*self.near(a), *(self.narrow.near(a) if self.narrow else []), *self.verbatim(text)]
+        best: dict = {}
+        for item, hit in hits:
+            best[item] = min(best.get(item, hit), hit)
+        return {item: hit[1:] for item, hit in best.items()}
+
+    def verbatim(self, text: str) -> list:
+        """Short items at their earliest places, as ``near`` gives them."""
+        out: dict = {}
+        for size, wanted in self.short.items():
+            for at in range(len(text) - size + 1):
+                part = text[at : at + size]
+                if part in wanted and part not in out:
+                    out[part] = [(item, (False, 0, at + size)) for item in wanted[part]]
+        return [hit for hits in out.values() for hit in hits]
+
+    def near(self, a: np.ndarray) -> list:
+        """(item, (is a piece, edits, end)) of the segments within their budgets."""
+        h = gram_hashes(a, self.q)
         if not len(self.segments) or not len(h):
-            return {}
+            return []
         pos = np.flatnonzero(self.present[self.slot(h)])
         g = np.minimum(np.searchsorted(self.grams, h[pos]), len(self.grams) - 1)
         same = self.grams[g] == h[pos]
         pos, g = pos[same], g[same]
         if not len(pos):
-            return {}
+            return []
         n = self.count[g]
         post = np.repeat(self.first[g] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
         seg, diagonal = self.seg[post], np.repeat(pos, n) - self.off[post]
@@ -136,11 +168,7 @@ class Items:
             edits, end = banded_edits(self.segments[s], region)
             if edits <= k:
                 out[s] = min(out.get(s, (k + 1, 0)), (edits, min(start + end, len(a))))
-        best: dict = {}
-        for s, hit in sorted(out.items()):
-            hit = (self.piece[s], *hit)
-            best[self.item[s]] = min(best.get(self.item[s], hit), hit)
-        return {item: hit[1:] for item, hit in best.items()}
+        return [(self.item[s], (self.piece[s], *hit)) for s, hit in sorted(out.items())]
 
 
 def chunks(benchmark: DataFrame, chunk_chars: int):

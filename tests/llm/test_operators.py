@@ -138,6 +138,14 @@ def test_passages_of_items_of_every_length_are_found(spark):
     assert by_row(leaks, "doc_id", "item_id") == sorted([(d, d // 10) for d, _ in cases[:-2]] + [(1, 240)], key=str)
 
 
+def test_short_items_are_found():
+    items = decontam.Items([(1, "Forty  Two"), (2, "abcdefghijklmnopqrstuvwxy"), (3, "0123456789abcdefghijklmnop"), (4, " "), (5, None)])
+    assert items.matches("it is forty two, they say") == {1: (0, 15)} and items.matches("fortytwo") == {}
+    found = items.matches("- abcdefgh!jklmnop!rstuvwxy -  01234567!9abcdefg!ijklmnop -")
+    assert {i: e for i, (e, _) in found.items()} == {2: 2, 3: 2}
+    assert items.matches("- abcdefgh!jklmnop!rst!vwxy -") == {}
+
+
 def test_banded_alignment_equals_full_table():
     rng = np.random.default_rng(8)
     for _ in range(60):

@@ -28,7 +28,7 @@ from ..session import materialize
 from .common import blocks_for, by_cogroup, by_group, mix, ship, split_by, table, text_bytes
 from .runs import Numbers
 
-SHARDS = 4
+SHARDS, SALTS = 4, 64
 LONGEST, SUPPORT, COVER, TOP = 3, 10, 50, 2000
 END = b"\xff"  # in no UTF-8 text: stands for the end of a piece
 CUTS = b".,;:!?\n\x0b\x0c\r"
@@ -141,7 +141,11 @@ def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGES
         key = key[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         frequent = np.unique(key[first][np.add.reduceat(count[order].astype(np.int64), first) >= least] >> np.uint64(3)).astype(np.uint32)
-        bits = [np.packbits(np.isin(x, frequent)).tobytes() for x in sent]
+        prints = np.concatenate(sent)
+        at = np.searchsorted(frequent, prints)
+        hit = np.append(frequent, np.uint32(0))[at] == prints
+        hit &= at < len(frequent)
+        bits = [np.packbits(x).tobytes() for x in np.split(hit, np.cumsum(size)[:-1])]
         has = [i for i, b in enumerate(bits) if any(b)]
         return {"block": t.column("block").take(pa.array(has, pa.int64())), "bucket": t.column("bucket").take(pa.array(has, pa.int64())), "bits": [bits[i] for i in has]}
 
@@ -219,8 +223,10 @@ def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST
     ).groupBy("lang", "phrase").agg(F.max("a").alias("held"))
     left = weakest.join(inside, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("held").cast("decimal(19,0)") < cover * F.col("a").cast("decimal(19,0)"), F.lit(True)))
     rows = left.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = rows.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top)
+    ranked = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    rows = rows.withColumn("salt", F.pmod(F.hash("phrase"), F.lit(SALTS)))
+    rows = rows.withColumn("rank", ranked("lang", "salt")).where(F.col("rank") <= top)  # a language in parts: at most SALTS * top rows are left
+    best = rows.withColumn("rank", ranked("lang").cast("long")).where(F.col("rank") <= top)
     totals = counts.where(F.col("phrase") == "").select("lang", F.col("f").alias("n"))
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.bindings import DAILY_FIELDS
+from .clean import latest_by_key
 from .rank import rolling_sum_days, rolling_sum_rows, top_k
 
 ARRAY_FIELDS = ["time", *DAILY_FIELDS]
 WEATHER_COLUMNS = ["location_id", "day", *DAILY_FIELDS]
+# What read_weather_documents(..., delivery=True) orders documents by.
+DELIVERY = ("delivered_at", "file", "block", "line")
 
 
 # --------------------------------------------------------------------- documents
@@ -53,29 +56,71 @@ def validate_documents(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def flatten_daily(docs: DataFrame) -> DataFrame:
+def _is_bad() -> Column:
+    """Whether a document fails: a missing array, a NULL entry or arrays of unequal length."""
+    arrays = [F.col(f"daily.{f}") for f in ARRAY_FIELDS]
+    sizes = [F.size(a) for a in arrays]
+    broken = [a.isNull() | F.coalesce(F.exists(a, lambda x: x.isNull()), F.lit(True)) for a in arrays]
+    return F.array_contains(F.array(*broken), True) | F.coalesce(F.least(*sizes) != F.greatest(*sizes), F.lit(True))
+
+
+def flatten_daily(docs: DataFrame, strict: bool = False) -> DataFrame:
     """P16 + P14: one row per array index; ``time`` becomes ``day``.
 
-    ``arrays_zip`` pads unequal arrays with NULLs, so run :func:`validate_documents` first
-    when strictness matters.
+    ``arrays_zip`` pads unequal arrays with NULLs. With ``strict`` the projection itself fails on a bad
+    document (D8): one execution validates and flattens, and a job that fails writes no row of the batch.
     """
     zipped = F.arrays_zip(*[F.col(f"daily.{f}").alias(f) for f in ARRAY_FIELDS])
+    if strict:
+        where = F.concat(F.lit("weather document failed validation: "), F.coalesce(F.col("latitude").cast("string"), F.lit("?")),
+                         F.lit(", "), F.coalesce(F.col("longitude").cast("string"), F.lit("?")))
+        zipped = F.when(_is_bad(), F.raise_error(where)).otherwise(zipped)
     rows = docs.select("latitude", "longitude", F.inline(zipped))
     return rows.withColumnRenamed("time", "day")
 
 
+def latest_documents(docs: DataFrame, order: Sequence[str] = DELIVERY, keys: Sequence[str | Column] = ("latitude", "longitude")) -> DataFrame:
+    """Of the documents for one place the last delivered one counts.
+
+    ``order`` are columns of ``docs`` that grow with the delivery (see ``read_weather_documents``); of
+    documents that tie, the greatest counts. ``keys`` may hold expressions, such as the month of a document.
+    """
+    named = [F.col(k).alias(f"_key{i}") if isinstance(k, str) else k.alias(f"_key{i}") for i, k in enumerate(keys)]
+    out = latest_by_key(docs.select("*", *named), [f"_key{i}" for i in range(len(named))], list(order))
+    return out.select(*[c for c in docs.columns if c not in order])
+
+
+def month_of_document() -> Column:
+    """The month a document starts in: the third key where a place's series comes in monthly documents."""
+    return F.trunc(F.get(F.col("daily.time"), F.lit(0)), "month")
+
+
 # ------------------------------------------------------------------ locate and load
 
 
-def locate(rows: DataFrame, places: DataFrame, precision: int | None = None) -> DataFrame:
+def one_name(places: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One name for each coordinate: the last by ``order``, else the greatest. A stored place takes the last name saved."""
+    return latest_by_key(places, ["latitude", "longitude"], list(order)).select("name", "latitude", "longitude")
+
+
+def locate(rows: DataFrame, places: DataFrame, precision: int | None = None, required: bool = False) -> DataFrame:
     """J6 + P17: attach the place name on exact (latitude, longitude) equality.
 
     Rows of documents whose coordinates name no place are dropped; see
     :func:`unmatched_places` / :func:`unmatched_rows` for the report. ``precision``
     joins on coordinates rounded to that many decimals instead (G12: an API may answer
     with the nearest grid node rather than the coordinates asked for); the document's
-    own coordinates are kept.
+    own coordinates are kept. ``required`` makes the plan fail when nothing matches: a branch
+    over the coordinates alone counts the matches and adds no row.
+
+    Names that share a coordinate each get a row; reduce ``places`` by :func:`one_name` before a load.
     """
+    if required:
+        found = locate(rows.select("latitude", "longitude").distinct(), places, precision).agg(F.count(F.lit(1)).alias("_n"))
+        fail = F.raise_error(F.lit("no weather row lies at a known place")).cast("boolean")
+        out = locate(rows, places, precision)
+        none = found.where(F.when(F.col("_n") > 0, F.lit(False)).otherwise(fail))
+        return out.unionByName(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema]))
     rest = [c for c in rows.columns if c not in ("latitude", "longitude")]
     if precision is None:
         located = rows.join(places.select("name", "latitude", "longitude"), ["latitude", "longitude"])
@@ -243,15 +288,6 @@ def hottest_month(joined: DataFrame) -> DataFrame:
     return top_k(monthly, [], "avg_temperature", 1, "rank", out="_rnk").drop("_rnk")
 
 
-def since_filter(df: DataFrame, day: str, bound: str) -> DataFrame:
-    """F7 as a reusable step: rows strictly after ``bound``."""
-    return df.filter(F.col(day) > F.lit(bound).cast("date"))
-
-
-def keep_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)
-
-
 # The relational tables with their NOT NULL columns (keys are checked by D9).
 LOCATION_SCHEMA = T.StructType(
     [
@@ -269,9 +305,16 @@ WEATHER_SCHEMA = T.StructType(
 )
 
 
-def create_tables(spark, namespace: str) -> None:
-    """Create empty Location and Weather tables if absent."""
+WEATHER_BUCKETS = 8
+
+
+def create_tables(spark, namespace: str, buckets: int = WEATHER_BUCKETS) -> None:
+    """Create empty Location and Weather tables if absent.
+
+    Weather is bucketed and sorted by its place, so a look-up of one place reads one bucket (S15).
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
     for name, schema in (("location", LOCATION_SCHEMA), ("weather", WEATHER_SCHEMA)):
-        if not spark.catalog.tableExists(f"{namespace}.{name}"):
-            spark.catalog.createTable(f"{namespace}.{name}", source="parquet", schema=schema)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema)
+        layout = f"CLUSTERED BY (location_id) SORTED BY (location_id) INTO {buckets} BUCKETS" if name == "weather" else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {namespace}.{name} ({columns}) USING parquet {layout}")

@@ -6,6 +6,7 @@ column names and types so the driver can compare them value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, quality, rank, sales, upsert, weather
 from ..session import materialize, shared_dir
-from ..sources import bindings
+from ..sources import bindings, tables
 from ..sources import raw as raw_sources
 from ..streaming import events
 from . import oracle as o
@@ -583,8 +584,7 @@ def q_weather_json_roundtrip(spark, sf):
     explicit schema (FAILFAST), validated and flattened."""
     path = shared_dir(spark, "weather-json")
     raw_sources.write_weather_documents(bindings.weather_documents(spark, sf), path)
-    docs = weather.validate_documents(raw_sources.read_weather_documents(spark, path, multiline=False))
-    return weather.flatten_daily(docs)
+    return weather.flatten_daily(raw_sources.read_weather_documents(spark, path, multiline=False), strict=True)
 
 
 @register(
@@ -866,6 +866,77 @@ def q_key_lookup(spark, sf):
     return upsert.lookup(weather_plan.load(spark, sf).weather, "location_id", 1)
 
 
+def _two_batches(spark, sf):
+    """Stored tables after two batches: mornings at two places in three, then afternoons at all of them.
+
+    The second batch holds each document twice, the first copy without rain, and some places under two names.
+    """
+    namespace = f"reload_{uuid.uuid4().hex[:8]}"
+    tables.ensure_namespace(spark, namespace, shared_dir(spark, namespace))
+    places = bindings.locations(spark, sf)
+    known = places.where(F.substring("name", -1, 1).isin(*"0123456"))
+    station = places.where(F.substring("name", -1, 1).isin(*"05")).withColumn("name", F.concat("name", F.lit(" Station")))
+    documents = lambda where: bindings.documents_from_daily(bindings.daily_measures(spark, sf, where))
+    keys = ("latitude", "longitude", weather.month_of_document())
+    weather_plan.reload(spark, namespace, documents(FACT_OLD).withColumn("delivery", F.lit(1)), known, ["delivery"], keys)
+    good = documents(FACT_NEW)
+    dry = good.withColumn("daily", F.col("daily").withField("rain_sum", F.transform("daily.rain_sum", lambda x: x * 0)))
+    twice = good.withColumn("delivery", F.lit(2)).unionByName(dry.withColumn("delivery", F.lit(1)))
+    weather_plan.reload(spark, namespace, twice, places.union(station), ["delivery"], keys)
+    return spark.table(f"{namespace}.location"), spark.table(f"{namespace}.weather")
+
+
+_BATCHES = f"""WITH a AS {o.daily_sql("WHERE " + FACT_OLD)}, b AS {o.daily_sql("WHERE " + FACT_NEW)},
+places AS (SELECT c_name AS name, {o._CLAT} AS latitude, {o._CLON} AS longitude FROM customer),
+first_rows AS (SELECT a.*, name FROM a JOIN places USING (latitude, longitude) WHERE right(name, 1) IN ('0', '1', '2', '3', '4', '5', '6')),
+second_rows AS (SELECT b.*, CASE WHEN right(name, 1) IN ('0', '5') THEN name || ' Station' ELSE name END AS name FROM b JOIN places USING (latitude, longitude)),
+first_ids AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY latitude, longitude) AS location_id, name, latitude, longitude
+  FROM (SELECT DISTINCT name, latitude, longitude FROM first_rows)),
+second_places AS (SELECT DISTINCT name, latitude, longitude FROM second_rows),
+location AS (
+  SELECT location_id, coalesce(s.name, f.name) AS name, latitude, longitude
+  FROM first_ids f LEFT JOIN second_places s USING (latitude, longitude)
+  UNION ALL
+  SELECT (SELECT MAX(location_id) FROM first_ids) + ROW_NUMBER() OVER (ORDER BY latitude, longitude), name, latitude, longitude
+  FROM second_places s WHERE NOT EXISTS (SELECT 1 FROM first_ids f WHERE f.latitude = s.latitude AND f.longitude = s.longitude)),
+final_rows AS (
+  SELECT * EXCLUDE (name) FROM second_rows
+  UNION ALL
+  SELECT * EXCLUDE (name) FROM first_rows f WHERE NOT EXISTS (
+    SELECT 1 FROM second_rows s WHERE s.latitude = f.latitude AND s.longitude = f.longitude AND s.day = f.day)),
+weather AS (SELECT location_id, day, {', '.join(MEASURES)} FROM final_rows JOIN location USING (latitude, longitude))"""
+
+
+@register("weather_reload", f"{_BATCHES} SELECT location_id, name, latitude, longitude, day, {', '.join(MEASURES)} FROM weather JOIN location USING (location_id)")
+def q_weather_reload(spark, sf):
+    """Two batches loaded into the declared tables, read back and joined."""
+    location, rows = _two_batches(spark, sf)
+    return weather.with_names(rows, location).select("location_id", "name", "latitude", "longitude", "day", *MEASURES)
+
+
+@register("stored_lookup", f"{_BATCHES} SELECT * FROM weather WHERE location_id = 1")
+def q_stored_lookup(spark, sf):
+    """S15 on the stored table: one bucket is read."""
+    return upsert.lookup(_two_batches(spark, sf)[1], "location_id", 1)
+
+
+@register(
+    "repeated_documents",
+    f"""{o.WEATHER}
+SELECT latitude, longitude, day, CASE WHEN month(day) % 2 = 0 THEN temperature_2m_max + 100 ELSE temperature_2m_max END AS temperature_2m_max
+FROM daily_rows""",
+)
+def q_repeated_documents(spark, sf):
+    """Documents delivered again for even months, with other temperatures; the last delivery counts."""
+    docs = bindings.weather_documents(spark, sf)
+    warmer = F.col("daily").withField("temperature_2m_max", F.transform("daily.temperature_2m_max", lambda x: x + 100))
+    again = docs.where(F.month(weather.month_of_document()) % 2 == 0).withColumn("daily", warmer).withColumn("delivery", F.lit(2))
+    both = docs.withColumn("delivery", F.lit(1)).unionByName(again)
+    latest = weather.latest_documents(both, ["delivery"], ("latitude", "longitude", weather.month_of_document()))
+    return weather.flatten_daily(latest, strict=True).select("latitude", "longitude", "day", "temperature_2m_max")
+
+
 _LOC_COLS = ["location_id", "name", "latitude", "longitude"]
 
 

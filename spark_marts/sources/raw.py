@@ -69,12 +69,13 @@ LOCATION_SCHEMA = T.StructType(
 )
 
 
-def read_weather_documents(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_weather_documents(spark: SparkSession, path: str, multiline: bool = True, delivery: bool = False) -> DataFrame:
     """Weather documents against the explicit schema; a malformed file fails the scan.
 
-    Instants are ISO text without seconds and without a zone (UTC by contract).
+    Instants are ISO text without seconds and without a zone (UTC by contract). ``delivery`` adds what orders
+    the documents: time and path of the file, then the place in it.
     """
-    return (
+    docs = (
         spark.read.schema(DOCUMENT_SCHEMA)
         .option("multiLine", multiline)
         .option("mode", "FAILFAST")
@@ -82,6 +83,12 @@ def read_weather_documents(spark: SparkSession, path: str, multiline: bool = Tru
         .option("dateFormat", "yyyy-MM-dd")
         .json(path)
     )
+    if not delivery:
+        return docs
+    return docs.select(
+        "*", F.col("_metadata.file_modification_time").alias("delivered_at"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+    )
 
 
 def read_locations(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ computed once, not once for the write and again for ``count()``.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,9 +21,9 @@ def qualified(namespace: str | None, name: str) -> str:
     return f"{namespace}.{name}" if namespace else name
 
 
-def ensure_namespace(spark: SparkSession, namespace: str) -> None:
-    """``CREATE SCHEMA IF NOT EXISTS``."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
+def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """``CREATE SCHEMA IF NOT EXISTS``, in the warehouse or at ``location``."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}" + (f" LOCATION '{location}'" if location else ""))
 
 
 def save(
@@ -31,8 +32,9 @@ def save(
     fmt: str = "parquet",
     partition_by: Sequence[str] | None = None,
     bucket_by: tuple[int, Sequence[str]] | None = None,
+    path: str | None = None,
 ) -> int:
-    """S3: overwrite a managed table (schema replaced); returns rows written.
+    """S3: overwrite a managed table (schema replaced), or one at ``path``; returns rows written.
 
     ``partition_by`` gives later readers partition pruning (e.g. sales by ``order_month``);
     ``bucket_by=(n, keys)`` pre-shuffles by key so joins on it skip the exchange.
@@ -49,6 +51,8 @@ def save(
     if bucket_by:
         n, keys = bucket_by
         writer = writer.bucketBy(n, *keys).sortBy(*keys)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return int(obs.get["rows"])
 
@@ -85,16 +89,43 @@ def sample(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet") -> int:
-    """Write ``df`` as the new content of ``name`` even when ``df`` reads ``name``.
+def location(spark: SparkSession, name: str) -> str:
+    """The folder that holds a table's rows."""
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
 
-    Spark refuses to overwrite a table it is reading, so the new version goes to a side
-    table first, then the old one is dropped and the side table renamed (write-then-swap;
-    readers never see a half-written table).
+
+def replace_table(
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] | None = None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> int:
+    """Write ``df`` as the next version of ``name``, even when ``df`` reads ``name``; returns rows written.
+
+    The version goes to a folder of its own beside the current one. A single ``ALTER TABLE ... SET LOCATION``
+    then switches: the table exists throughout, whoever reads it finds the old version or the new one, and
+    plans made before the switch go on with the old folder. Old folders stay until their owner
+    removes them. A table whose columns differ is refused (drop it first); layout arguments must be
+    those the table was saved with. A table that is not there yet is saved.
     """
+    if not spark.catalog.tableExists(name):
+        return save(df, name, fmt, partition_by, bucket_by)
+    columns = lambda d: sorted((f.name, f.dataType.simpleString()) for f in d.schema)
+    if columns(df) != columns(spark.table(name)):
+        raise ValueError(f"{name} has other columns than its next version")
+    old = location(spark, name).rstrip("/")
+    version = f"{old.split('__v')[0]}__v{uuid.uuid4().hex[:12]}"
     side = f"{name}__next"
     drop(spark, side)
-    rows = save(df, side, fmt)
-    drop(spark, name)
-    spark.sql(f"ALTER TABLE {side} RENAME TO {name}")
+    rows = save(df, side, fmt, partition_by, bucket_by, path=version)
+    switch(spark, name, version)
+    drop(spark, side)  # the entry only: files of a table at a path stay
     return rows
+
+
+def switch(spark: SparkSession, name: str, folder: str) -> None:
+    """Let ``name`` read ``folder`` from now on."""
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)

@@ -16,7 +16,7 @@ from ..operators import clean, quality, rank, sales, upsert, weather
 from ..session import materialize, shared_dir
 from ..sources import bindings, tables
 from ..sources import raw as raw_sources
-from ..streaming import events
+from ..streaming import events, log
 from . import oracle as o
 from . import retail, sqlrun
 from . import weather as weather_plan
@@ -560,6 +560,51 @@ def q_stream_dedupe(spark, sf):
     return spark.read.parquet(sink)
 
 
+@register(
+    "numbered_log",
+    f"""{EVENT_ROWS_SQL}
+SELECT ROW_NUMBER() OVER (ORDER BY again, sales_month, category) AS seq, event_id
+FROM (SELECT 0 AS again, * FROM event_rows UNION ALL SELECT 1, * FROM event_rows WHERE order_count % 2 = 0)""",
+)
+def q_numbered_log(spark, sf):
+    """All events are published, then some of them again; numbers show the order."""
+    topic = shared_dir(spark, "log")
+    evts = materialize(_gold_events(spark, sf))
+    log.publish(evts, topic)
+    log.publish(evts.where("order_count % 2 = 0"), topic)
+    return log.read_log(spark, topic).select("seq", F.col("key").alias("event_id"))
+
+
+@register(
+    "bounded_read",
+    f"""{EVENT_ROWS_SQL}
+SELECT CASE WHEN seq <= 20 THEN 0 ELSE 1 END::INTEGER AS batch, seq, event_id
+FROM (SELECT ROW_NUMBER() OVER (ORDER BY sales_month, category) AS seq, event_id FROM event_rows) WHERE seq <= 30""",
+)
+def q_bounded_read(spark, sf):
+    """The first 20 messages, then after a restart the 10 behind them."""
+    topic, sink, progress = (shared_dir(spark, n) for n in ("log", "sink", "progress"))
+    log.publish(events.require_rows(materialize(_gold_events(spark, sf)), "gold event table"), topic)
+    for n in (20, 10):
+        log.read_next(spark, topic, sink, progress, n)
+    return log.read_sink(spark, sink).select("batch", "seq", F.col("key").alias("event_id"))
+
+
+@register("replayed_batch", f"{EVENT_ROWS_SQL} SELECT * FROM event_rows UNION ALL SELECT * FROM event_rows WHERE order_count % 2 = 0")
+def q_replayed_batch(spark, sf):
+    """A stream with empty payloads, drained twice; its first batch is then repeated and replaces itself."""
+    topic, sink, ckpt = (shared_dir(spark, n) for n in ("topic", "sink", "checkpoint"))
+    evts = materialize(_gold_events(spark, sf))
+    stream = spark.readStream.format("text").load
+    for part in (evts, evts.where("order_count % 2 = 0")):
+        events.publish(part, topic)
+        part.select(F.lit("").alias("value")).write.mode("append").text(topic)
+        log.consume_batches(stream(topic).filter(F.length("value") > 0), sink, ckpt)
+    first = materialize(log.read_sink(spark, sink).where("batch = 0").select("value"))
+    log.append_batch(first, sink, 0)
+    return events.from_messages(log.read_sink(spark, sink))
+
+
 # ---------------------------------------------------------------------------- weather
 
 # The reference bounds its rolling query after the sixth day of its data; ours starts

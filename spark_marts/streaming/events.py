@@ -52,9 +52,10 @@ def event_rejects(gold_monthly: DataFrame) -> DataFrame:
     return gold_monthly.select(*EVENT_COLUMNS).filter(~_eventable())
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """``key`` = event id, ``value`` = the JSON document (decimals print exactly)."""
+def to_messages(events: DataFrame, *keep: str) -> DataFrame:
+    """``key`` = event id, ``value`` = the JSON document (decimals print exactly); columns to ``keep`` go in front."""
     return events.select(
+        *keep,
         F.col("event_id").alias("key"),
         F.to_json(F.struct(*[F.col(c) for c in EVENT_FIELDS])).alias("value"),
     )

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .common import arrow_schema, as_table, blocks_for, by_group, mix, split_by, table, text_bytes
+from .common import arrow_schema, as_table, blocks_for, by_group, mix, ship, split_by, table, text_bytes
 
 BLANK = " \t\n\r\x0b\x0c"
 LEAST = 10
@@ -89,6 +89,7 @@ def key_of(line: str, least: int) -> bytes | None:
 
 def row_docs(docs: DataFrame, keep_columns: bool) -> tuple[DataFrame, int]:
     """Blocks with the other columns packed into ``row`` (a constant if they are not kept)."""
+    ship(docs.sparkSession)
     n = blocks_for(text_bytes(docs))
     rest = [c for c in docs.columns if c.lower() not in ("doc_id", "text")] if keep_columns else []
     row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest))) if rest else F.lit(0)

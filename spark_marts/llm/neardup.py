@@ -24,6 +24,7 @@ other columns are ignored, or kept by ``drop_near_duplicates``; an empty table g
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -227,8 +228,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Rows of ``docs`` without those that a document of a smaller doc_id stands for; every column stays."""
-    gone = near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
+    name = f"gone_{uuid.uuid4().hex}"  # no column of docs
+    gone = near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
 
 
 def op5_near_dup(spark, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ a row block:
 
 1. each node lists its k best entries of every query; the k-th best of the sums of listed entries
    over all blocks is a safe cutoff, as no true k-th score can be lower;
-2. the cutoffs travel with the query blocks; an entry whose local scores all lie under
-   cutoff / NODES cannot reach the cutoff, all others are collected;
-3. the collected entries are resolved to exact sums, of which at most k per query leave a block.
+2. the cutoffs travel with the query blocks as 64-bit integers; the first node collects the entries whose
+   local score, with the greatest the other can add (Cauchy-Schwarz), comes up to the cutoff;
+3. the second node scores only what was collected; of the exact sums at most k per query leave a block.
 
 Queries meet the rows block by block; no list grows beyond k entries per query and block, so
 a vector that a third of all rows share adds nothing.
@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import arrow_schema, as_table, table
+from .common import arrow_schema, as_table, ship, table
 
 NODES = 2
 QUERY_BLOCK, ROW_BLOCK = 512, 4096
 FOUND = "query_id long, vec_id long, score long"
+MIN, MAX = -(1 << 63), (1 << 63) - 1
 
 
 def scaled(embeddings: DataFrame) -> DataFrame:
@@ -55,18 +56,42 @@ def blocks_of(rows: DataFrame, name: str, size: int, width: int, cutoff: bool) -
         for i, v in enumerate(t.column("v").to_pylist()):
             m[i, : len(v)] = v
         order = np.argsort(ids, kind="stable")
-        cut = t.column("cutoff").to_numpy()[order].astype(np.float64).tobytes() if cutoff else b""
+        cut = t.column("cutoff").to_numpy()[order].astype(np.int64).tobytes() if cutoff else b""
         return as_table({name: [t.column(name)[0].as_py()], f"{name}_ids": [ids[order].astype(np.int64).tobytes()], f"{name}_matrix": [m[order].tobytes()], f"{name}_cut": [cut]}, schema)
 
     return rows.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(n))).groupBy(name).applyInArrow(pack, ddl), n
 
 
-def local_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products, exact: in floating point while every partial sum is an exact integer, else as Python integers."""
-    if q.size and x.size and np.abs(q).max() * np.abs(x).max() * q.shape[1] >= 2.0**52:
-        whole = np.vectorize(int, otypes=[object])
-        return whole(q) @ whole(x).T
-    return q @ x.T
+def is_small(q: np.ndarray, x: np.ndarray) -> bool:
+    """Whether every partial sum of an inner product is an exact integer in floating point."""
+    return not (q.size and x.size) or np.abs(q).max() * np.abs(x).max() * q.shape[1] < 2.0**52
+
+
+def local_scores(q: np.ndarray, x: np.ndarray, small: bool) -> np.ndarray:
+    """Inner products, exact: as floating point if they are ``small``, else as Python integers."""
+    if small:
+        return q @ x.T
+    whole = np.vectorize(int, otypes=[object])
+    return whole(q) @ whole(x).T if q.size and x.size else np.zeros((len(q), len(x)), object)
+
+
+def resolved(q: np.ndarray, x: np.ndarray, half: int, cut: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(rows, total, reach)``: rows of ``x`` that may reach a query's cutoff, exact scores, and who does reach it.
+
+    The second half is multiplied only for rows whose first score plus the greatest possible second one
+    (Cauchy-Schwarz, with room for rounding) comes up to some cutoff.
+    """
+    small = is_small(q, x)
+    first = local_scores(q[:, :half], x[:, :half], small)
+    most = np.linalg.norm(q[:, half:], axis=1)[:, None] * np.linalg.norm(x[:, half:], axis=1)[None, :]
+    near = first.astype(float)
+    chance = near + most + 1 + 1e-9 * (np.abs(near) + most + np.abs(cut.astype(float))[:, None])
+    rows = np.flatnonzero((other & (chance >= cut.astype(float)[:, None])).any(axis=0))
+    total = first[:, rows] + local_scores(q[:, half:], x[rows, half:], small)
+    if not small:
+        total = np.clip(total, MIN, MAX)
+        cut = cut.astype(object)
+    return rows, total, (total >= cut[:, None]).astype(bool) & other[:, rows]
 
 
 def best(score: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int):
@@ -89,20 +114,21 @@ def search_pairs(pairs: DataFrame, width: int, k: int, cutoff: bool) -> DataFram
     def run(batches):
         for batch in batches:
             for row in zip(*(batch.column(i) for i in range(len(cols))), strict=True):
-                q_ids, q, cut, ids, x = (np.frombuffer(c.as_buffer(), t) for c, t in zip(row, (np.int64, np.float64, np.float64, np.int64, np.float64), strict=True))
+                q_ids, q, cut, ids, x = (np.frombuffer(c.as_buffer(), t) for c, t in zip(row, (np.int64, np.float64, np.int64, np.int64, np.float64), strict=True))
                 q, x = q.reshape(len(q_ids), width), x.reshape(len(ids), width)
-                local = [local_scores(q[:, a:b], x[:, a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-                total, other = sum(local), q_ids[:, None] != ids[None, :]
+                other = q_ids[:, None] != ids[None, :]
                 if cutoff:
-                    reach = np.logical_or.reduce([s >= cut[:, None] / NODES for s in local]) & (total >= cut[:, None]) & other
-                    lists = [(total, reach)]
+                    rows, total, reach = resolved(q, x, cuts[1], cut, other)
+                    ids, lists = ids[rows], [(total, reach)]
                 else:
-                    lists = [(s, other) for s in local]
+                    small = is_small(q, x)
+                    local = [local_scores(q[:, a:b], x[:, a:b], small) for a, b in zip(cuts, cuts[1:], strict=False)]
+                    total, lists = sum(local), [(s, other) for s in local]
                 got = [set() for _ in q_ids]
                 for score, allowed in lists:
                     for i, at in best(score, ids, allowed, k):
                         got[i].update(at.tolist())
-                flat = [(int(q_ids[i]), int(ids[j]), max(-(1 << 63), min((1 << 63) - 1, int(total[i, j])))) for i, js in enumerate(got) for j in sorted(js)]
+                flat = [(int(q_ids[i]), int(ids[j]), max(MIN, min(MAX, int(total[i, j])))) for i, js in enumerate(got) for j in sorted(js)]
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in flat], pa.int64()) for c in range(3)], schema=schema)
 
     return pairs.select(*cols).mapInArrow(run, FOUND)
@@ -110,6 +136,7 @@ def search_pairs(pairs: DataFrame, width: int, k: int, cutoff: bool) -> DataFram
 
 def top_k(embeddings: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k best other rows for each query's vec_id."""
+    ship(embeddings.sparkSession)
     rows = materialize(scaled(embeddings), "vectors")
     width = max(1, rows.select(F.max(F.size("v"))).first()[0] or 0)
     asked = rows.join(queries.select(F.col("vec_id").cast("long").alias("vec_id")).distinct(), "vec_id", "left_semi")
@@ -123,8 +150,8 @@ def top_k(embeddings: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     nth = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     first = against(blocks_of(asked, "q", QUERY_BLOCK, width, False)[0], False).distinct()
     listed = first.withColumn("rank", F.row_number().over(nth)).where(F.col("rank") <= k)
-    cutoffs = materialize(listed.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("cutoff")), "cutoffs")
-    sent = asked.join(cutoffs, "vec_id", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(float("-inf"))))
+    cutoffs = materialize(listed.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("cutoff")), "cutoffs")
+    sent = asked.join(cutoffs, "vec_id", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(MIN)))
     exact = against(blocks_of(sent, "q", QUERY_BLOCK, width, True)[0], True)
     out = exact.withColumn("rank", F.row_number().over(nth).cast("int")).where(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")

@@ -21,6 +21,7 @@ a null doc_id is scored and is not held out.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 from functools import cached_property
@@ -89,7 +90,15 @@ class Lexicon:
                 found.append((start, x))
             else:
                 shield.append((start, stop))
-        return sum(x for at, x in found if not any(s <= at < e for s, e in shield))
+        starts, ends = [], []  # of the covered stretches, apart from one another
+        for start, stop in sorted(shield):
+            if ends and start <= ends[-1]:
+                ends[-1] = max(ends[-1], stop)
+            else:
+                starts.append(start)
+                ends.append(stop)
+        covered = lambda at: bool(starts) and at < ends[bisect_right(starts, at) - 1] and at >= starts[0]
+        return sum(x for at, x in found if not covered(at))
 
     def feature(self, text: str) -> tuple[float, float]:
         root = float(np.sqrt(max(1, len(text.split()))))

@@ -45,3 +45,15 @@ def test_near_dup_stage_with_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id int, component_id int, rep int")
     out = neardup.drop_near_duplicates(docs)
     assert out.columns == docs.columns and sorted((r.doc_id for r in out.collect()), key=str) == [2, 9, None]
+
+
+def test_lm_scores_do_not_go_by_the_layout(spark, monkeypatch):
+    from spark_marts.llm import lm
+
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(50)]
+    rows = [(i, " ".join(rng.choice(words, 40))) for i in range(150)] + [(7, "a copy"), (7, "a copy"), (None, "no id"), (200, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lm, "blocks_for", lambda size: 8)  # several blocks and an average of them
+    scores = [sorted(((r.doc_id, r.n_tokens, r.score) for r in lm.score_documents(docs.repartition(n)).collect()), key=str) for n in (1, 4)]
+    assert scores[0] == scores[1]

@@ -7,11 +7,12 @@ afterwards. Nothing is collected except the final handful of numbers.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -184,6 +185,66 @@ def constraint_report(checks: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+@dataclass(frozen=True)
+class Rule:
+    """One constraint: ``kind`` is not_null, max_length (``limit``), key (PRIMARY KEY, UNIQUE) or foreign (``parent`` holds the keys)."""
+
+    name: str
+    kind: str
+    table: str
+    columns: tuple[str, ...]
+    parent: str | None = None
+    limit: int | None = None
+
+
+def constraint_counts(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """Violations of every rule, zeros included, from one pass over each table.
+
+    A row gives one narrow entry (rule, key) for each key it takes part in, as child or parent, and one for each
+    NOT NULL or length rule it breaks. One shuffle by (rule, key), with partial sums in front, answers all
+    rules; a second one adds up a number a rule. Counted are rows, except for ``key``: keys held
+    more than once. A NULL foreign key has no parent and counts as broken.
+    """
+    key = lambda columns: F.to_json(F.struct(*columns))
+    entry = lambda rule, k, child, parent: F.struct(F.lit(rule).alias("rule"), k.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent"))
+    none = F.lit(None).cast("string")
+    parts = []
+    for table, df in tables.items():
+        entries = []
+        for r in rules:
+            if r.table == table and r.kind == "not_null":
+                entries.append(F.when(reduce(or_, [F.col(c).isNull() for c in r.columns]), entry(r.name, none, 1, 0)))
+            elif r.table == table and r.kind == "max_length":
+                entries.append(F.when(reduce(or_, [F.length(c) > r.limit for c in r.columns]), entry(r.name, none, 1, 0)))
+            elif r.table == table:
+                entries.append(entry(r.name, key(r.columns), 1, 0))
+            if r.parent == table:
+                entries.append(F.when(reduce(and_, [F.col(c).isNotNull() for c in r.columns]), entry(r.name, key(r.columns), 0, 1)))
+        if entries:
+            parts.append(df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull()))))
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    named = lambda kind: F.col("rule").isin([r.name for r in rules if r.kind == kind])
+    broken = F.when(named("key"), F.when(F.col("child") > 1, 1).otherwise(0)).when(named("foreign"), F.when(F.col("parent") == 0, F.col("child")).otherwise(0)).otherwise(F.col("child"))
+    counted = per_key.select(F.col("rule").alias("check_name"), broken.cast("bigint").alias("violations"))
+    spark = per_key.sparkSession
+    zeros = spark.createDataFrame([(r.name, 0) for r in rules], counted.schema)
+    return counted.unionByName(zeros).groupBy("check_name").agg(F.sum("violations").alias("violations"))
+
+
+def landed_count_check(source: DataFrame, land: Callable[[DataFrame], DataFrame], path: str, table: str) -> DataFrame:
+    """D3 on the write itself: rows that left the source against rows found in the stored table.
+
+    The source is counted by an observation on the job that lands it, so nothing is computed twice; the
+    stored side is counted from the files. ``land`` is what the load does to the rows on their way.
+    """
+    spark = source.sparkSession
+    obs = Observation(f"landed:{table}")
+    land(source.observe(obs, F.count(F.lit(1)).alias("rows"))).write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("loaded_rows"))
+    rows = F.lit(int(obs.get["rows"])).cast("bigint")
+    return stored.select(F.lit(table).alias("table_name"), rows.alias("source_rows"), "loaded_rows", (rows == F.col("loaded_rows")).alias("counts_match"))
+
+
 def count_check(source: DataFrame, loaded: DataFrame, table: str) -> DataFrame:
     """D3: rows in the source and in the loaded layer, and whether they agree (one pass
     over the union of both sides)."""

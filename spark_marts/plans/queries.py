@@ -985,6 +985,17 @@ def q_repeated_documents(spark, sf):
 _LOC_COLS = ["location_id", "name", "latitude", "longitude"]
 
 
+CONSTRAINTS = [
+    quality.Rule("location_not_null", "not_null", "location", tuple(_LOC_COLS)),
+    quality.Rule("location_primary_key", "key", "location", ("location_id",)),
+    quality.Rule("location_unique_coordinates", "key", "location", ("latitude", "longitude")),
+    quality.Rule("location_name_length", "max_length", "location", ("name",), limit=32),
+    quality.Rule("weather_not_null", "not_null", "weather", ("location_id", "day", *MEASURES)),
+    quality.Rule("weather_primary_key", "key", "weather", ("location_id", "day")),
+    quality.Rule("weather_foreign_key", "foreign", "weather", ("location_id",), parent="location"),
+]
+
+
 @register(
     "constraint_checks",
     f"""{o.WEATHER}
@@ -1004,30 +1015,19 @@ UNION ALL SELECT 'weather_foreign_key', COUNT(*) FROM weather w
 def q_constraint_checks(spark, sf):
     """The DDL constraints of both tables as counted violations (all zero when clean)."""
     t = weather_plan.load(spark, sf)
-    t = weather_plan.WeatherTables(t.located, t.location, materialize(t.weather))
-    return quality.constraint_report(
-        {
-            "location_not_null": quality.null_violations(t.location, _LOC_COLS),
-            "location_primary_key": quality.key_violations(t.location, ["location_id"]),
-            "location_unique_coordinates": quality.key_violations(t.location, ["latitude", "longitude"]),
-            "location_name_length": quality.length_violations(t.location, "name", 32),
-            "weather_not_null": quality.null_violations(t.weather, ["location_id", "day", *MEASURES]),
-            "weather_primary_key": quality.key_violations(t.weather, ["location_id", "day"]),
-            "weather_foreign_key": quality.foreign_key_violations(t.weather, t.location, ["location_id"]),
-        }
-    )
+    return quality.constraint_counts({"location": t.location, "weather": t.weather}, CONSTRAINTS)
 
 
 @register(
     "count_check",
     f"""{o.RETAIL}
 SELECT 'sales_orders' AS table_name, (SELECT COUNT(*) FROM raw_orders) AS source_rows,
-  (SELECT COUNT(*) FROM raw_orders) AS loaded_rows, true AS counts_match""",
+  (SELECT COUNT(*) FROM raw_orders) AS loaded_rows, (SELECT COUNT(*) = COUNT(order_id) FROM raw_orders) AS counts_match""",
 )
 def q_count_check(spark, sf):
-    """D3: raw orders against their Bronze copy (lineage-stamped)."""
-    raw_orders = bindings.raw_orders(spark, sf)
-    return quality.count_check(raw_orders, retail.to_bronze(raw_orders, "sales_orders.csv"), "sales_orders")
+    """D3: raw orders against the Bronze table (lineage-stamped) that they were landed in."""
+    to_bronze = lambda rows: retail.to_bronze(rows, "sales_orders.csv")
+    return quality.landed_count_check(bindings.raw_orders(spark, sf), to_bronze, shared_dir(spark, "bronze"), "sales_orders")
 
 
 @register(
@@ -1043,15 +1043,10 @@ def q_constraint_checks_damaged(spark, sf):
     t = weather_plan.load(spark, sf)
     date, rain = F.dayofmonth("day"), F.col("rain_sum")
     rows = t.weather.withColumn("rain_sum", F.when(date != 3, rain)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(date == 1, 2).otherwise(1))))
-    rows = materialize(rows.withColumn("location_id", F.when(date == 2, -F.col("location_id")).otherwise(F.col("location_id"))).drop("copy"))
-    return quality.constraint_report(
-        {
-            "location_name_length": quality.length_violations(t.location.withColumn("name", F.rpad("name", 40, "x")), "name", 32),
-            "weather_not_null": quality.null_violations(rows, ["location_id", "day", *MEASURES]),
-            "weather_primary_key": quality.key_violations(rows, ["location_id", "day"]),
-            "weather_foreign_key": quality.foreign_key_violations(rows, t.location, ["location_id"]),
-        }
-    )
+    rows = rows.withColumn("location_id", F.when(date == 2, -F.col("location_id")).otherwise(F.col("location_id"))).drop("copy")
+    tables_ = {"location": t.location.withColumn("name", F.rpad("name", 40, "x")), "weather": rows}
+    damaged = {"location_name_length", "weather_not_null", "weather_primary_key", "weather_foreign_key"}
+    return quality.constraint_counts(tables_, [r for r in CONSTRAINTS if r.name in damaged])
 
 
 @register(
@@ -1061,9 +1056,9 @@ SELECT 'sales_orders' AS table_name, a AS source_rows, b AS loaded_rows, a = b A
 FROM (SELECT COUNT(*) AS a, COUNT(*) FILTER (WHERE quantity <> '1') AS b FROM raw_orders)""",
 )
 def q_count_check_damaged(spark, sf):
-    """D3 over a damaged copy: the load lost the orders of one piece."""
-    raw_orders = bindings.raw_orders(spark, sf)
-    return quality.count_check(raw_orders, retail.to_bronze(raw_orders.where("quantity <> '1'"), "sales_orders.csv"), "sales_orders")
+    """D3 over a damaged load: the orders of one piece are lost on the way into the table."""
+    lossy = lambda rows: retail.to_bronze(rows.where("quantity <> '1'"), "sales_orders.csv")
+    return quality.landed_count_check(bindings.raw_orders(spark, sf), lossy, shared_dir(spark, "bronze"), "sales_orders")
 
 
 @register(

@@ -110,3 +110,26 @@ def test_control_total_check_catches_a_lost_layer(spark):
     broken = rows[:3] + [("event_rejects", 1, 4, Decimal("20.00"))]
     bad = {r.check_name for r in quality.control_total_mismatches(spark.createDataFrame(broken, schema), 1).collect()}
     assert bad == {"events_vs_gold_orders"}
+
+
+def test_constraint_counts_equal_the_separate_checks(spark):
+    loc = spark.createDataFrame([(1, "a"), (1, "bb"), (2, None), (None, "toolong")], "id long, name string")
+    fact = spark.createDataFrame([(1, 1, 5.0), (1, 1, 6.0), (3, 1, 7.0), (None, 2, None)], "id long, day int, v double")
+    rules = [
+        quality.Rule("loc_null", "not_null", "loc", ("id", "name")), quality.Rule("loc_key", "key", "loc", ("id",)),
+        quality.Rule("loc_len", "max_length", "loc", ("name",), limit=3), quality.Rule("fact_null", "not_null", "fact", ("v",)),
+        quality.Rule("fact_key", "key", "fact", ("id", "day")), quality.Rule("fact_parent", "foreign", "fact", ("id",), parent="loc"),
+        quality.Rule("fact_clean", "not_null", "fact", ("day",)),
+    ]
+    counts = quality.constraint_counts({"loc": loc, "fact": fact}, rules)
+    got = {r.check_name: r.violations for r in counts.collect()}
+    assert got == {"loc_null": 2, "loc_key": 1, "loc_len": 1, "fact_null": 1, "fact_key": 1, "fact_parent": 2, "fact_clean": 0}
+    assert quality.foreign_key_violations(fact, loc, ["id"]).count() == 2
+    assert quality.constraint_counts({"loc": loc, "fact": fact}, rules)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 3
+
+
+def test_landed_counts_see_rows_lost_in_the_write(spark, scratch):
+    whole = quality.landed_count_check(spark.range(50), lambda df: df, f"{scratch}/a", "t").first()
+    assert tuple(whole) == ("t", 50, 50, True)
+    lossy = quality.landed_count_check(spark.range(50), lambda df: df.where("id > 9"), f"{scratch}/b", "t").first()
+    assert tuple(lossy) == ("t", 50, 40, False)

@@ -52,33 +52,48 @@ class Tokens:
     """Packed ids (little-endian 32 bits) of texts, by way of remembered words and word parts.
 
     Plain Latin words are cut as the vocabulary's own pre-tokenizer cuts them and each part goes to the
-    BPE model directly; any other word goes through the whole tokenizer.
+    BPE model directly; any other word goes through the whole tokenizer. A tokenizer that does not cut
+    so, by a probe, gets whole texts.
     """
 
-    PLAIN = re.compile(r"(?!.*<\|)[!-~À-ÖØ-öø-ÿ]+")
+    PROBE = "The quick  brown-fox's 12,345 DON'T <|x|> naïve\tÉté (a_b) §9 Straße... \n x!? 3rd we'LL ½µm 東京"
+
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
     PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level alphabet: bytes that stand for themselves
         rest = iter(range(256, 512))
         self.letter = {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.words, self.parts = Remembered(self.word, most), Remembered(self.part, most)
+        self.by_word = self.joined(self.PROBE) == self.whole(self.PROBE)
 
     def part(self, part: str) -> bytes:
-        spelled = "".join(map(self.letter.__getitem__, part.encode()))
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letter)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenizer.model.tokenize(spelled)])
 
     def word(self, word: bytes) -> bytes:
         text = word.decode()
-        if self.PLAIN.fullmatch(text):
-            return b"".join(map(self.parts.__getitem__, self.PART.findall(text.lower())))
+        if self.PLAIN.fullmatch(text) and "<|" not in text:
+            text = text.lower()
+            if text.isalpha():  # one part
+                return self.parts[text]
+            return b"".join([self.parts[p] for p in self.PART.findall(text)])
+        return self.whole(text)
+
+    def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def joined(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, text.encode().split()))
+
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.encode().split())) + END
+        return (self.joined(text) if self.by_word else self.whole(text)) + END
 
 
 @lru_cache(1)

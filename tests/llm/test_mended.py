@@ -57,3 +57,44 @@ def test_lm_scores_do_not_go_by_the_layout(spark, monkeypatch):
     monkeypatch.setattr(lm, "blocks_for", lambda size: 8)  # several blocks and an average of them
     scores = [sorted(((r.doc_id, r.n_tokens, r.score) for r in lm.score_documents(docs.repartition(n)).collect()), key=str) for n in (1, 4)]
     assert scores[0] == scores[1]
+
+
+def _all_texts():
+    rng = np.random.default_rng(11)
+    words = "The don't Été (x_y) 12,345 naïve we'LL <|x|> 東京 a.b... straße µm".split()
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 5, 400, 3000, 900, 2048, 7000, 33)]
+    return [*enumerate(texts), (100, None), (101, ""), (3, texts[3])]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", None])
+def test_packed_ids_are_the_tokenizers(spark, name):
+    """Every id of every text lies in one piece at its place; sequences have no gaps; by any vocabulary."""
+    from pathlib import Path
+    from zlib import crc32
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from spark_marts.llm import packing
+
+    file = public_tokenizers.path(name) if name else next(str(f) for f in sorted(Path(public_tokenizers.path("word_bpe_49k.json")).parent.glob("*.json")) if f.name != "word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(file)
+    rows = _all_texts()
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), file).collect()
+    want = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in rows}
+    by_doc = {}
+    for p in pieces:
+        by_doc.setdefault(p.doc_id, []).append(p)
+        assert p.ids_crc32 == crc32(want[p.doc_id][p.start : p.start + p.length].tobytes()) and p.doc_tokens == len(want[p.doc_id])
+    for i, ids in want.items():
+        times = 2 if i == 3 else 1
+        covered = np.zeros(len(ids), int)
+        for p in by_doc[i]:
+            covered[p.start : p.start + p.length] += 1
+        assert (covered == times).all()
+    for s in {p.sequence_id for p in pieces}:
+        at = 0
+        for p in sorted((p for p in pieces if p.sequence_id == s), key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 2048

@@ -148,6 +148,27 @@ def profile(df: DataFrame, expected_types: Mapping[str, str] | None = None, exac
     return _unpack(agg, rows, names)
 
 
+def profile_counts(df: DataFrame) -> DataFrame:
+    """M7: per column rows, NULLs and distinct values, and the same of whole rows under ``*`` (the row as a value).
+
+    Every row becomes narrow (column, value) entries that partial aggregation counts before the shuffle, so no
+    wide row is repeated once a column. Values are told apart by their text (binary ones by their hex digits),
+    whole rows by the SHA-256 of their JSON.
+    """
+    text = lambda f: F.hex(f.name) if f.dataType.typeName() == "binary" else F.when(F.col(f.name).isNotNull(), F.to_json(F.struct(f.name))) if f.dataType.typeName() in ("struct", "array", "map") else F.col(f.name).cast("string")
+    whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).cast("binary"), 256)
+    entries = [F.struct(F.lit(f.name).alias("column_name"), text(f).alias("value")) for f in df.schema] + [F.struct(F.lit("*").alias("column_name"), whole.alias("value"))]
+    per_value = df.select(F.inline(F.array(*entries))).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    nulls = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
+    return per_value.groupBy("column_name").agg(
+        F.sum("n").cast("bigint").alias("row_count"),
+        nulls.cast("bigint").alias("null_count"),
+        F.count("value").alias("distinct_count"),
+        F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("repeated_values"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n") - 1).otherwise(0)).cast("bigint").alias("surplus_rows"),
+    )
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Whole-row duplicates: each distinct row occurring more than once, with its count."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)

@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import sales
 from ..operators.clean import clean_customers, clean_orders, clean_products
@@ -20,6 +21,19 @@ from ..streaming import events
 from . import sqlrun
 from .retail import gold, monthly_mismatches
 
+TOTALS = ("orders", "units", "revenue")
+
+
+def silver_totals() -> dict[str, Column]:
+    """Control totals of enriched sales."""
+    return dict(zip(TOTALS, (F.count(F.lit(1)), F.sum("quantity"), F.sum("net_sales")), strict=True))
+
+
+def gold_totals() -> dict[str, Column]:
+    """The same totals of the monthly mart, which sums the sales up."""
+    return {total: F.sum(column) for total, column in zip(TOTALS, ("order_count", "total_quantity", "total_revenue"), strict=True)}
+
+
 RAW_NAMES = ("customers", "products", "sales_orders")
 
 
@@ -27,6 +41,7 @@ RAW_NAMES = ("customers", "products", "sales_orders")
 class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
     checks: dict[str, int] = field(default_factory=dict)
+    totals: dict[str, dict] = field(default_factory=dict)  # observed on the writes
     published: int = 0
 
 
@@ -60,10 +75,14 @@ def build_layers(
         tables.read(spark, t("silver_products")),
         customers_first=bool(buckets),
     )
-    report.rows["silver_enriched_sales"] = tables.save(
-        enriched, t("silver_enriched_sales"), partition_by=["order_month"] if buckets else None
-    )
-    report.rows |= tables.save_all(gold(tables.read(spark, t("silver_enriched_sales"))), namespace)
+    by_month = ["order_month"] if buckets else None
+    report.totals["silver"] = tables.save_observed(enriched, t("silver_enriched_sales"), silver_totals(), partition_by=by_month)
+    report.rows["silver_enriched_sales"] = int(report.totals["silver"]["rows"])
+    marts = gold(tables.read(spark, t("silver_enriched_sales")))
+    monthly = marts.pop("gold_monthly_category_sales")
+    report.totals["gold"] = tables.save_observed(monthly, t("gold_monthly_category_sales"), gold_totals())
+    report.rows["gold_monthly_category_sales"] = int(report.totals["gold"]["rows"])
+    report.rows |= tables.save_all(marts, namespace)
 
 
 def check_layers(spark: SparkSession, namespace: str, report: RunReport) -> None:
@@ -73,6 +92,9 @@ def check_layers(spark: SparkSession, namespace: str, report: RunReport) -> None
         t("gold_monthly_category_sales"),
     )
     report.checks = sqlrun.run_checks({"monthly_matches_gold": recon})
+    differ = [m for m in TOTALS if report.totals and report.totals["silver"][m] != report.totals["gold"][m]]
+    if differ:
+        raise ValueError(f"silver and gold differ in {', '.join(differ)}")
 
 
 def publish_events(spark: SparkSession, namespace: str, topic: str, report: RunReport) -> None:

@@ -479,6 +479,24 @@ def q_profile(spark, sf):
     return quality.profile(bindings.raw_customers(spark, sf), clean.CUSTOMER_TYPES)
 
 
+def _counts_sql(columns) -> str:
+    per = [(c, c) for c in columns] + [("*", f"row({', '.join(columns)})::VARCHAR")]
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS column_name, CAST(SUM(n) AS BIGINT) AS row_count, CAST(coalesce(SUM(n) FILTER (WHERE v IS NULL), 0) AS BIGINT) AS null_count,
+  COUNT(v) AS distinct_count, COUNT(*) FILTER (WHERE v IS NOT NULL AND n > 1) AS repeated_values,
+  CAST(coalesce(SUM(n - 1) FILTER (WHERE v IS NOT NULL), 0) AS BIGINT) AS surplus_rows
+FROM (SELECT {v} AS v, COUNT(*) AS n FROM twice GROUP BY ALL)"""
+        for name, v in per
+    )
+
+
+@register("profile_counts", f"{o.RETAIL}, twice AS (SELECT * FROM raw_customers UNION ALL SELECT * FROM raw_customers WHERE region = 'ASIA') {_counts_sql(CUSTOMER_COLS)}")
+def q_profile_counts(spark, sf):
+    """M7 over customers of which one region's rows come twice: distinct values and whole-row duplicates."""
+    raw = bindings.raw_customers(spark, sf).select(*CUSTOMER_COLS)
+    return quality.profile_counts(raw.union(raw.where("region = 'ASIA'")))
+
+
 def _keys_sql(table: str, src: str, key: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, '{key}' AS key_columns, CAST(SUM(n) AS BIGINT) AS row_count, "

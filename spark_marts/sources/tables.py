@@ -11,7 +11,7 @@ import logging
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -39,13 +39,30 @@ def save(
     ``partition_by`` gives later readers partition pruning (e.g. sales by ``order_month``);
     ``bucket_by=(n, keys)`` pre-shuffles by key so joins on it skip the exchange.
     """
+    return int(save_observed(df, name, {}, fmt, partition_by, bucket_by, path)["rows"])
+
+
+def save_observed(
+    df: DataFrame,
+    name: str,
+    metrics: Mapping[str, Column],
+    fmt: str = "parquet",
+    partition_by: Sequence[str] | None = None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+    path: str | None = None,
+) -> dict:
+    """As :func:`save`, and the value of each aggregate over the rows written, with their number as ``rows``.
+
+    All of them are observed on the write itself, so totals cost no second pass over a fact.
+    """
     # one task a bucket, and few tasks a partition value (AQE splits the large ones): else each task writes a file for each
     if bucket_by:
         df = df.repartition(bucket_by[0], *bucket_by[1])
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
     obs = Observation(f"save:{name}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
+    aggs = [F.count(F.lit(1)).alias("rows"), *(m.alias(n) for n, m in metrics.items())]
+    writer = df.observe(obs, *aggs).write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
@@ -54,7 +71,7 @@ def save(
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
-    return int(obs.get["rows"])
+    return dict(obs.get)
 
 
 def save_all(tables: Mapping[str, DataFrame], namespace: str | None = None, fmt: str = "parquet") -> dict[str, int]:

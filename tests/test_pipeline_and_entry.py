@@ -27,6 +27,11 @@ def test_pipeline_end_to_end(spark):
     report = pipeline.run_pipeline(spark, raw, "retail_test", topic, consumed, ckpt)
     assert report.rows["bronze_customers"] > report.rows["silver_customers"] > 0
     assert report.checks == {"monthly_matches_gold": 0}
+    totals = report.totals
+    assert totals["silver"]["rows"] == totals["gold"]["orders"] and totals["silver"]["revenue"] == totals["gold"]["revenue"] > 0
+    broken = pipeline.RunReport(totals={"silver": totals["silver"], "gold": {**totals["gold"], "units": 1}})
+    with pytest.raises(ValueError, match="differ in units"):
+        pipeline.check_layers(spark, "retail_test", broken)
     assert report.published == report.rows["gold_monthly_category_sales"] - spark.table(
         "retail_test.gold_monthly_category_sales").filter("order_month IS NULL").count()
     assert spark.read.json(consumed).count() == report.published

@@ -133,3 +133,11 @@ def test_landed_counts_see_rows_lost_in_the_write(spark, scratch):
     assert tuple(whole) == ("t", 50, 50, True)
     lossy = quality.landed_count_check(spark.range(50), lambda df: df.where("id > 9"), f"{scratch}/b", "t").first()
     assert tuple(lossy) == ("t", 50, 40, False)
+
+
+def test_profile_counts_of_columns_and_whole_rows(spark):
+    df = spark.createDataFrame([(1, "a", [1]), (1, "a", [1]), (2, None, None), (None, None, [2])], "id int, name string, tags array<int>")
+    profile = quality.profile_counts(df)
+    got = {r[0]: tuple(r)[1:] for r in profile.collect()}
+    assert got == {"id": (4, 1, 2, 1, 1), "name": (4, 2, 1, 1, 1), "tags": (4, 1, 2, 1, 1), "*": (4, 0, 3, 1, 1)}
+    assert "Expand" not in profile._jdf.queryExecution().executedPlan().toString()

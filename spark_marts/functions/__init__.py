@@ -1,17 +1,5 @@
-"""Column-level helpers: casts, string normalisation, money arithmetic."""
+"""Column-level helpers: tolerant casts and string normalisation."""
 
-from .columns import (
-    EXCLUDED_STATUSES,
-    initcap_trim,
-    normalize_strings,
-    try_cast,
-    try_cast_columns,
-)
+from .columns import EXCLUDED_STATUSES, initcap_trim, try_cast
 
-__all__ = [
-    "EXCLUDED_STATUSES",
-    "initcap_trim",
-    "normalize_strings",
-    "try_cast",
-    "try_cast_columns",
-]
+__all__ = ["EXCLUDED_STATUSES", "initcap_trim", "try_cast"]

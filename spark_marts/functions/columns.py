@@ -5,7 +5,7 @@ All are built-in Catalyst expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Order statuses left out of financial figures.
@@ -23,15 +23,7 @@ def try_cast(column: str | Column, data_type: str) -> Column:
     return col.try_cast(data_type)
 
 
-def try_cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    return df.withColumns({name: try_cast(name, t) for name, t in types.items()})
-
-
 def initcap_trim(column: str | Column) -> Column:
     """``initcap(trim(lower(c)))``: trims spaces only, words break on spaces."""
     col = F.col(column) if isinstance(column, str) else column
     return F.initcap(F.trim(F.lower(col)))
-
-
-def normalize_strings(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: initcap_trim(name) for name in names})

@@ -6,12 +6,12 @@ rejection accounting for them lives in :mod:`spark_marts.operators.quality`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import EXCLUDED_STATUSES, normalize_strings, try_cast_columns
+from ..functions import EXCLUDED_STATUSES, initcap_trim, try_cast
 
 # Lineage columns stamped onto every raw table; only the order-level pair survives the join.
 LINEAGE_COLUMNS = ("source_file", "ingestion_timestamp")
@@ -62,11 +62,15 @@ def latest_by_key(
     return picked.select(*out)
 
 
+def cleaning(text: Sequence[str], types: Mapping[str, str]) -> dict[str, Column]:
+    """A table's cleaning as one map of column to expression: names in title case, the rest cast tolerantly."""
+    return {**{c: initcap_trim(c) for c in text}, **{c: try_cast(c, t) for c, t in types.items()}}
+
+
 def prepare_customers(raw: DataFrame) -> DataFrame:
     """Row-local half of customer cleaning: fill, normalise, cast."""
-    df = raw.fillna({"city": "Unknown"})
-    df = normalize_strings(df, *CUSTOMER_TEXT)
-    return try_cast_columns(df, CUSTOMER_TYPES)
+    city = initcap_trim(F.coalesce("city", F.lit("Unknown")))
+    return raw.withColumns({**cleaning(CUSTOMER_TEXT, CUSTOMER_TYPES), "city": city})
 
 
 def is_active(flag: str = "is_active") -> Column:
@@ -80,7 +84,7 @@ def clean_customers(raw: DataFrame) -> DataFrame:
 
 
 def prepare_products(raw: DataFrame) -> DataFrame:
-    return try_cast_columns(normalize_strings(raw, *PRODUCT_TEXT), PRODUCT_TYPES)
+    return raw.withColumns(cleaning(PRODUCT_TEXT, PRODUCT_TYPES))
 
 
 def product_rules() -> list[tuple[str, Column]]:
@@ -101,7 +105,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
 
 
 def prepare_orders(raw: DataFrame) -> DataFrame:
-    return try_cast_columns(raw, ORDER_TYPES)
+    return raw.withColumns(cleaning((), ORDER_TYPES))
 
 
 def order_rules(excluded: Sequence[str] = EXCLUDED_STATUSES) -> list[tuple[str, Column]]:

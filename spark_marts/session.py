@@ -6,7 +6,6 @@ is only used by tests, ``bench.py`` and the command-line helpers.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,27 +67,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; returns the directory in use."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-marts-"))
-    return sc.getCheckpointDir()
-
-
-def bench_session() -> SparkSession:
-    cores = os.environ.get("BENCH_CPUS", "8")
-    return local_session(cores=cores, shuffle_partitions=int(cores) * 2, driver_memory="16g")
-
-
 def materialize(df, name: str = "stage"):
     """Compute ``df`` once and cut its lineage by writing it to the shared checkpoint folder.
 

@@ -2,19 +2,22 @@
 
 A byte goes if a WINDOW-byte string that covers it also starts in a document with a smaller doc_id.
 
-1. Candidates. Every window has an anchor, its leftmost 16-byte gram of smallest hash, so equal windows
-   have equal anchors. Blocks of documents send their distinct anchor hashes, packed, to the hash's
-   shard, which answers those found in two documents.
-2. Shards. The text around such an anchor (all windows that have it: a *piece*) goes to the anchor's
-   shard, once a block. A shard merges equal pieces and builds suffix arrays over parts of at most
-   ``part_bytes``: Larsson-Sadakane refinement (sort by a packed prefix, then by pairs of ranks with
-   doubled reach, only groups that are still unsorted), Kasai's common prefixes with one lane a piece.
-   Neighbours that share a whole window form a run, with the smallest doc_id in it. Runs of several
-   parts are merged by binary search in their sorted windows.
-3. Blocks get back the smallest doc_id of each window of their pieces and cut.
+1. Candidates. Every window has an anchor, its leftmost 16-byte gram of smallest hash, and reaches at
+   least SIDE bytes beyond it on one side, so equal windows have equal anchors and an equal *side*
+   (the gram with those bytes). Blocks of documents send short prints of their distinct sides to the
+   print's shard, which answers those found in two documents; a collision only adds candidates.
+2. Shards. The text around such an anchor (all windows that have it and a repeated side: a *piece*)
+   goes to the anchor's shard, once a block, with the places where it stands. A shard merges equal
+   pieces and builds suffix arrays over parts of at most ``part_bytes``: Larsson-Sadakane refinement
+   (sort by a packed prefix, then by pairs of ranks with doubled reach, only groups that are still
+   unsorted), Kasai's common prefixes with one lane a piece. Neighbours that share a whole window form
+   a run, with the smallest doc_id in it. Runs of several parts are merged by binary search in their
+   sorted windows.
+3. Blocks get back which windows of which rows go, and cut. Both steps number the rows of a block by
+   (doc_id, text), so no hash is computed again.
 
 Equal windows always meet in one shard, and a passage that a third of all documents hold reaches it
-once per block of documents.
+once per block of documents. A run of one character is one piece with many places.
 
 Defined cases: null or empty text, or under WINDOW bytes, loses nothing; rows that share a doc_id are
 one document and take nothing from each other; rows with a null doc_id neither lose bytes nor take
@@ -28,12 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_docs, blocks_for, by_cogroup, by_group, split_by, table, text_bytes, texts_of, unpack
+from .common import block_docs, blocks_for, by_cogroup, by_group, mix, split_by, table, text_bytes, texts_of, unpack
 
 WINDOW, GRAM = 50, 16
 REACH = WINDOW - GRAM + 1  # grams in a window
+SIDE = (WINDOW - GRAM) // 2  # a window goes on for SIDE bytes behind its anchor, or for more before it
+PRINT_BITS = 31
 PART_BYTES = 2 << 20
-CHUNK = 1 << 16
+CHUNK = 1 << 15
+HIGH = np.uint64(0xFFFFFFFF00000000)
 NONE = np.iinfo(np.int64).max
 MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -47,10 +53,13 @@ def packed(a: np.ndarray, n: int, bits: int) -> np.ndarray:
     return out
 
 
+def eights(a: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number (an unaligned view)."""
+    return np.ndarray(len(a) - 7, np.dtype("<u8"), a, strides=(1,))
+
+
 def gram_hash(a: np.ndarray) -> np.ndarray:
-    g = a.astype(np.uint64)
-    for n, bits in ((1, 8), (2, 16), (4, 32)):
-        g = g[:-n] | (g[n:] << np.uint64(bits))
+    g = eights(a)
     h = g[:-8] * MUL + g[8:]
     h ^= h >> np.uint64(29)
     h *= MUL
@@ -58,31 +67,58 @@ def gram_hash(a: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchors(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(first window, last window, anchor hash)`` of each run of windows with one anchor."""
-    starts, ends, keys, last = [], [], [], -1
-    for at in range(0, len(a) - WINDOW + 1, CHUNK):
-        part = a[at : at + CHUNK + WINDOW - 1]
-        h = gram_hash(part)
-        value, place = (h >> np.uint64(32)).astype(np.uint32), np.arange(len(h), dtype=np.int32)
-        for n in (1, 2, 4, 8, 16, REACH - 32):
-            right = value[n:] < value[:-n]
-            place = np.where(right, place[n:], place[:-n])
-            value = np.where(right, value[n:], value[:-n])
-        new = np.append(True, place[1:] != place[:-1])
-        first = np.flatnonzero(new)
-        stop = np.append(first[1:] - 1, len(place) - 1) + at
-        if at and len(first) and place[0] + at == last:  # a run goes on across chunks
-            ends[-1][-1] = stop[0]
-            first, stop = first[1:], stop[1:]
-        if len(first):
-            starts.append(first + at)
-            ends.append(stop)
-            keys.append(h[place[first]])
-        last = place[-1] + at
-    if not starts:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(ends), np.concatenate(keys) >> np.uint64(1)
+class Block:
+    """The texts of a block end to end; rows are numbered by (doc_id, text), whatever order they came in."""
+
+    def __init__(self, t: pa.Table):
+        docs, texts = t.column("doc_id").to_pylist(), [v.encode() for v in t.column("text").to_pylist()]
+        order = sorted(range(len(docs)), key=lambda i: (docs[i] is None, docs[i] or 0, texts[i]))
+        self.docs, self.texts = [docs[i] for i in order], [texts[i] for i in order]
+        self.owner = np.array([d or 0 for d in self.docs], np.int64)
+        self.known = np.array([d is not None for d in self.docs], bool)
+        self.sizes = np.array([len(x) for x in self.texts], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.raw = b"".join(self.texts)
+        self.bytes = np.frombuffer(self.raw, np.uint8)
+
+    def runs(self) -> tuple[np.ndarray, ...]:
+        """``(row, first window, last window, anchor)`` of each run of windows with one anchor, as places in the block."""
+        a, firsts, places, last = self.bytes, [], [], -1
+        for at in range(0, len(a) - WINDOW + 1, CHUNK):
+            h = gram_hash(a[at : at + CHUNK + WINDOW - 1])
+            least = (h & HIGH) | np.arange(len(h), dtype=np.uint64)  # of equal hashes the leftmost
+            for n in (1, 2, 4, 8, 16, REACH - 32):
+                least = np.minimum(least[n:], least[:-n])
+            place = (least & ~HIGH).astype(np.int64)
+            new = np.append(place[0] + at != last, place[1:] != place[:-1])
+            i, j = np.searchsorted(self.starts, (at, at + len(new)))
+            new[self.starts[i:j] - at] = True
+            first = np.flatnonzero(new)
+            firsts.append(first + at)
+            places.append(place[first] + at)
+            last = place[-1] + at
+        if not firsts:
+            return (np.empty(0, np.int64),) * 4
+        first, place = np.concatenate(firsts), np.concatenate(places)
+        row = np.searchsorted(self.starts, first, "right") - 1
+        end = np.minimum(np.append(first[1:] - 1, len(a) - WINDOW), (self.starts + self.sizes)[row] - WINDOW)
+        keep = (end >= first) & self.known[row]
+        return row[keep], first[keep], end[keep], place[keep]
+
+    def sides(self, first: np.ndarray, last: np.ndarray, place: np.ndarray, shards: int) -> list:
+        """``(which runs, their prints)`` for the side behind the anchor, then for the one before it.
+
+        A print is the shard's number followed by PRINT_BITS bits.
+        """
+        out, g = [], eights(self.bytes) if len(first) else None
+        behind, before = (0, 8, 16, SIDE + GRAM - 8), (-SIDE - 1, -SIDE + 7, -SIDE + 15, -SIDE + 23, GRAM - 8)
+        for has, ats in ((last >= place - SIDE, behind), (first < place - SIDE, before)):
+            which = np.flatnonzero(has)
+            h = np.zeros(len(which), np.uint64)
+            for at in ats:
+                h = mix((h ^ g[place[which] + at]) * MUL) if len(which) else h
+            out.append((which, (h % np.uint64(shards) << np.uint64(PRINT_BITS)) | (h >> np.uint64(64 - PRINT_BITS))))
+        return out
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -156,6 +192,7 @@ class Part:
         self.run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(run))))
         self.least = np.minimum.reduceat(docs[piece[self.at]], first)
         self.text, self.first = s, first
+        self.whole = np.flatnonzero(left >= WINDOW)
 
     def windows(self) -> np.ndarray:
         """The sorted distinct windows as fixed-width strings (a closing byte keeps their zeros)."""
@@ -185,138 +222,167 @@ def merge_parts(parts: list[Part]) -> None:
         part.least = least[np.searchsorted(keys, part.windows())]
 
 
-def window_minima(pieces: dict, part_bytes: int) -> dict:
-    """piece -> smallest doc_id for each of its windows, over all the pieces (given with their smallest doc_id)."""
-    names, parts, spans, at = sorted(pieces), [], [], 0
+def window_minima(names: list[bytes], docs: np.ndarray, part_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest doc_id of every window of the pieces, end to end, and where each piece begins there."""
+    parts, at = [], 0
     while at < len(names):
         stop, size = at, 0
         while stop < len(names) and (stop == at or size + len(names[stop]) < part_bytes):
             size += len(names[stop]) + 1
             stop += 1
-        parts.append(Part(names[at:stop], np.array([pieces[p] for p in names[at:stop]], np.int64)))
-        spans.append((at, stop))
+        parts.append(Part(names[at:stop], docs[at:stop]))
         at = stop
     if len(parts) > 1:
         merge_parts(parts)
-    out = {}
-    for part, (a, b) in zip(parts, spans, strict=True):
-        least = part.by_position(part.least)
-        for p, s in zip(names[a:b], part.starts.tolist(), strict=True):
-            out[p] = least[s : s + len(p) - WINDOW + 1]
+    least = [part.by_position(part.least)[part.whole] for part in parts]
+    begins = np.cumsum([0, *(len(p) - WINDOW + 1 for p in names)])
+    return np.concatenate(least), begins
+
+
+def going(least: np.ndarray, begins: np.ndarray, piece: np.ndarray, row: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """``(row, first window, last window)`` of the windows that a smaller doc_id has too; a piece at each place."""
+    low, high = np.minimum.reduceat(least, begins[:-1]), np.maximum.reduceat(least, begins[:-1])
+    size = np.diff(begins)
+    every = np.flatnonzero(high[piece] < doc)
+    out = [np.stack([row[every], at[every], at[every] + size[piece[every]] - 1], 1)]
+    some = np.flatnonzero((low[piece] < doc) & (high[piece] >= doc))
+    if len(some):
+        n = size[piece[some]]
+        own = np.repeat(np.arange(len(some)), n)
+        step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+        hit = least[begins[piece[some]][own] + step] < doc[some][own]
+        opens = hit & ~(np.append(False, hit[:-1]) & (step > 0))
+        closes = hit & ~(np.append(hit[1:], False) & np.append(step[1:] > 0, False))
+        first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+        of = some[own[first]]
+        out.append(np.stack([row[of], at[of] + step[first], at[of] + step[last]], 1))
+    return np.concatenate(out).astype(np.int32)
+
+
+def pieces_of(block: Block, wanted: np.ndarray, shards: int) -> list[tuple]:
+    """``(shard, pieces, places of each, rows, places in the text)``: pieces whose sides are ``wanted``."""
+    row, first, last, place = block.runs()
+    found = []
+    for which, prints in block.sides(first, last, place, shards):
+        hit = np.zeros(len(first), bool)
+        if len(wanted):
+            hit[which] = wanted[np.minimum(np.searchsorted(wanted, prints), len(wanted) - 1)] == prints
+        found.append(hit)
+    behind, before = found
+    lo = np.where(before, first, np.maximum(first, place - SIDE))
+    hi = np.where(behind, last, np.minimum(last, place - SIDE - 1))
+    at = np.flatnonzero(behind | before)
+    if not len(at):
+        return []
+    row, lo, hi, place = row[at], lo[at], hi[at], place[at]
+    # in a run of one character each window equals the one before it
+    level = np.append(0, np.cumsum(block.bytes[1:] == block.bytes[:-1], dtype=np.int32))
+    one = (lo == hi) & (level[np.minimum(lo + WINDOW - 1, len(level) - 1)] - level[np.maximum(lo - 1, 0)] == WINDOW)
+    again = np.append(False, one[1:] & (lo[1:] == lo[:-1] + 1) & (lo == hi)[:-1] & (row[1:] == row[:-1]))
+    texts: dict = {}
+    raw, ids, heads = block.raw, [], np.flatnonzero(~again)
+    for a, b in zip(lo[heads].tolist(), (hi[heads] + WINDOW).tolist(), strict=True):
+        ids.append(texts.setdefault(raw[a:b], len(texts)))
+    piece = np.array(ids, np.int64)[np.cumsum(~again) - 1]
+    shard = np.empty(len(texts), np.int64)
+    g = eights(block.bytes)
+    shard[piece] = (mix(g[place] * MUL + g[place + 8]) % np.uint64(shards)).astype(np.int64)
+    names, order = list(texts), np.argsort(piece, kind="stable")
+    counts = np.bincount(piece, minlength=len(names))
+    ends = np.cumsum(counts)
+    out = []
+    for s, own in split_by(shard, shards):
+        n = counts[own]
+        of = np.repeat(ends[own] - np.cumsum(n), n) + np.arange(n.sum())  # places of the shard's pieces, piece by piece
+        of = order[of]
+        out.append((s, [names[i] for i in own.tolist()], n, row[of], lo[of] - block.starts[row[of]]))
     return out
 
 
-def found_pieces(texts: pa.Table, wanted: np.ndarray) -> tuple[list, dict]:
-    """Per row ``(doc, text, [(first window, piece)])``; and key -> pieces with their smallest doc_id."""
-    rows, pieces = [], {}
-    for doc, text in zip(texts.column("doc_id").to_pylist(), texts.column("text").to_pylist(), strict=True):
-        raw, own = text.encode(), []
-        if doc is not None and len(raw) >= WINDOW and len(wanted):
-            first, last, keys = anchors(np.frombuffer(raw, np.uint8))
-            at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-            for i in np.flatnonzero(wanted[at] == keys).tolist():
-                piece = raw[first[i] : last[i] + WINDOW]
-                own.append((int(first[i]), piece))
-                had = pieces.get(piece)
-                if had is None or doc < had[1]:
-                    pieces[piece] = (int(keys[i]), doc)
-        rows.append((doc, raw, own))
-    return rows, pieces
-
-
 def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
     flat = texts_of(docs)
     n_blocks = blocks_for(text_bytes(flat))
     blocks = block_docs(flat, n_blocks)
     shards = n_blocks
-
-    def send_anchors(t: pa.Table) -> dict:
-        keys, owner = [], []
-        for doc, text in zip(t.column("doc_id").to_pylist(), t.column("text").to_pylist(), strict=True):
-            if doc is not None:
-                own = np.unique(anchors(np.frombuffer(text.encode(), np.uint8))[2])
-                keys.append(own)
-                owner.append(np.full(len(own), doc, np.int64))
-        keys, owner = np.concatenate([*keys, np.empty(0, np.uint64)]).astype(np.uint64), np.concatenate([*owner, np.empty(0, np.int64)])
-        order = np.lexsort((owner, keys))
-        keys, owner = keys[order], owner[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
-        last = np.append(first[1:], len(keys)) - 1
-        sent = (keys[first] << np.uint64(1)) | (owner[first] != owner[last]).astype(np.uint64)
-        parts = split_by((keys[first] % np.uint64(shards)).astype(np.int64), shards) if len(first) else []
-        return {"shard": [s for s, _ in parts], "block": [t.column("block")[0].as_py()] * len(parts), "payload": [sent[i].tobytes() for _, i in parts]}
+    low_bits = np.uint64((1 << PRINT_BITS) - 1)
+
+    def send_sides(t: pa.Table) -> dict:
+        block = Block(t)
+        row, first, last, place = block.runs()
+        sides = block.sides(first, last, place, shards)
+        prints = np.concatenate([p for _, p in sides])
+        owner = block.owner[row[np.concatenate([w for w, _ in sides])]]
+        order = np.argsort(prints)
+        prints, owner = prints[order], owner[order]
+        new = np.append(True, prints[1:] != prints[:-1])[: len(prints)]
+        heads = np.flatnonzero(new)
+        other = np.append(False, owner[1:] != owner[:-1])[: len(prints)] & ~new
+        several = np.logical_or.reduceat(other, heads) if len(heads) else other
+        sent = (((prints[heads] & low_bits) << np.uint64(1)) | several).astype(np.uint32)
+        shard, at = np.unique(prints[heads] >> np.uint64(PRINT_BITS), return_index=True)
+        return {"shard": shard.astype(np.int64), "block": [t.column("block")[0].as_py()] * len(shard), "payload": [p.tobytes() for p in np.split(sent, at[1:])][: len(shard)]}
 
     def repeated(t: pa.Table) -> dict:
-        flat, ends = unpack(t.column("payload").to_pylist(), np.uint64)
-        keys, several = flat >> np.uint64(1), (flat & np.uint64(1)).astype(bool)
-        found, n = np.unique(keys, return_counts=True)
-        twice = np.union1d(found[n > 1], keys[several])
+        flat, ends = unpack(t.column("payload").to_pylist(), np.uint32)
+        keys, several = flat >> np.uint32(1), (flat & np.uint32(1)).astype(bool)
+        ordered = np.sort(keys)
+        twice = np.union1d(ordered[1:][ordered[1:] == ordered[:-1]], keys[several])
         hit = twice[np.minimum(np.searchsorted(twice, keys), len(twice) - 1)] == keys if len(twice) else np.zeros(len(keys), bool)
         replies = [keys[a:b][hit[a:b]].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
-        has = [i for i, r in enumerate(replies) if r]
-        return {"block": t.column("block").take(pa.array(has, pa.int64())), "payload": [replies[i] for i in has]}
-
-    def send_pieces(texts: pa.Table, replies: pa.Table) -> dict:
-        wanted = np.unique(unpack(replies.column("payload").to_pylist(), np.uint64)[0])
-        _, pieces = found_pieces(texts, wanted)
-        by: dict = {}
-        for p in sorted(pieces):
-            by.setdefault(pieces[p][0] % shards, []).append(p)
-        pack = lambda ps, dtype, f: np.array([f(p) for p in ps], dtype).tobytes()
-        return {
-            "shard": list(by), "block": [texts.column("block")[0].as_py()] * len(by) if by else [],
-            "keys": [pack(ps, np.uint64, lambda p: pieces[p][0]) for ps in by.values()], "docs": [pack(ps, np.int64, lambda p: pieces[p][1]) for ps in by.values()],
-            "sizes": [pack(ps, np.int64, len) for ps in by.values()], "body": [b"".join(ps) for ps in by.values()],
-        }
+        has = pa.array([i for i, r in enumerate(replies) if r], pa.int64())
+        return {"block": t.column("block").take(has), "shard": t.column("shard").take(has), "payload": [r for r in replies if r]}
+
+    def send_pieces(texts: pa.Table, told: pa.Table) -> dict:
+        own, ends = unpack(told.column("payload").to_pylist(), np.uint32)
+        of = np.repeat(np.array(told.column("shard").to_pylist(), np.uint64), np.diff(ends))
+        wanted = np.sort((of << np.uint64(PRINT_BITS)) | own)
+        cols: dict = {c: [] for c in ("shard", "block", "sizes", "body", "counts", "rows", "places", "docs")}
+        block = Block(texts)
+        for shard, names, counts, row, at in pieces_of(block, wanted, shards):
+            packs = [np.array([len(n) for n in names], np.int32).tobytes(), b"".join(names), counts.astype(np.int32).tobytes()]
+            packs += [row.astype(np.int32).tobytes(), at.astype(np.int32).tobytes(), block.owner[row].tobytes()]
+            for c, value in zip(cols, (shard, texts.column("block")[0].as_py(), *packs), strict=True):
+                cols[c].append(value)
+        return cols
 
     def minima(t: pa.Table) -> dict:
-        sent, pieces = [], {}
-        for docs_, sizes, body in zip(*(t.column(c).to_pylist() for c in ("docs", "sizes", "body")), strict=True):
-            ends = np.cumsum(np.append(0, np.frombuffer(sizes, np.int64))).tolist()
-            own = [body[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-            sent.append(own)
-            for p, d in zip(own, np.frombuffer(docs_, np.int64).tolist(), strict=True):
-                if d < pieces.get(p, NONE):
-                    pieces[p] = d
-        least = window_minima(pieces, part_bytes)
-        return {"block": t.column("block"), "shard": t.column("shard"), "keys": t.column("keys"), "least": [np.concatenate([least[p] for p in own]).tobytes() for own in sent]}
+        names: dict = {}
+        pieces, sent = [], []
+        for sizes, body, counts in zip(*(t.column(c).to_pylist() for c in ("sizes", "body", "counts")), strict=True):
+            ends = np.cumsum(np.append(0, np.frombuffer(sizes, np.int32))).tolist()
+            own = [names.setdefault(body[a:b], len(names)) for a, b in zip(ends, ends[1:], strict=False)]
+            pieces.append(np.repeat(np.array(own, np.int64), np.frombuffer(counts, np.int32)))
+        docs_ = [np.frombuffer(d, np.int64) for d in t.column("docs").to_pylist()]
+        first = np.full(len(names), NONE, np.int64)
+        np.minimum.at(first, np.concatenate(pieces), np.concatenate(docs_))
+        least, begins = window_minima(list(names), first, part_bytes)
+        for piece, doc, rows, places in zip(pieces, docs_, t.column("rows").to_pylist(), t.column("places").to_pylist(), strict=True):
+            sent.append(going(least, begins, piece, np.frombuffer(rows, np.int32), np.frombuffer(places, np.int32), doc).tobytes())
+        has = pa.array([i for i, r in enumerate(sent) if r], pa.int64())
+        return {"block": t.column("block").take(has), "payload": [r for r in sent if r]}
 
     def cut(texts: pa.Table, replies: pa.Table) -> dict:
-        wanted = np.unique(unpack(replies.column("keys").to_pylist(), np.uint64)[0])
-        rows, pieces = found_pieces(texts, wanted)
-        by: dict = {}
-        for p in sorted(pieces):
-            by.setdefault(pieces[p][0] % shards, []).append(p)
-        least = {}
-        for shard, payload in zip(replies.column("shard").to_pylist(), replies.column("least").to_pylist(), strict=True):
-            at, values = 0, np.frombuffer(payload, np.int64)
-            for p in by[shard]:
-                least[p] = values[at : at + len(p) - WINDOW + 1]
-                at += len(p) - WINDOW + 1
-        cols: dict = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-        for doc, raw, own in rows:
-            covers = np.zeros(len(raw) + 1, np.int32)
-            if own:
-                hit = np.flatnonzero(np.concatenate([least[p] for _, p in own]) < doc)
-                ends = np.cumsum([len(p) - WINDOW + 1 for _, p in own])
-                piece = np.searchsorted(ends, hit, "right")
-                hit = hit + np.array([f for f, _ in own])[piece] - np.append(0, ends)[piece]
-                covers[hit] += 1  # windows are distinct
-                covers[hit + WINDOW] -= 1
-            gone = np.cumsum(covers)[:-1] > 0
-            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-            kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if spans else raw
-            for name, value in zip(cols, (doc, len(raw), len(raw) - len(kept), spans, kept), strict=True):
-                cols[name].append(value)
-        return cols
+        block = Block(texts)
+        row, first, last = unpack(replies.column("payload").to_pylist(), np.int32)[0].reshape(-1, 3).astype(np.int64).T
+        covers = np.zeros(len(block.bytes) + 1, np.int32)
+        np.add.at(covers, block.starts[row] + first, 1)
+        np.add.at(covers, block.starts[row] + last + WINDOW, -1)
+        gone = np.cumsum(covers)[:-1] > 0
+        opens = gone & ~np.append(False, gone[:-1])[: len(gone)]
+        inner = block.starts[block.sizes > 0]
+        opens[inner] = gone[inner]
+        total = lambda flags: np.diff(np.append(0, np.cumsum(flags))[np.append(block.starts, len(gone))])
+        removed, spans = total(gone), total(opens)
+        kept = [x if not n else block.bytes[a : a + len(x)][~gone[a : a + len(x)]].tobytes() for x, n, a in zip(block.texts, removed.tolist(), block.starts.tolist(), strict=True)]
+        return {"doc_id": block.docs, "n_bytes": block.sizes, "n_removed": removed, "n_spans": spans, "kept": kept}
 
     asked = "shard long, block long, payload binary"
-    sent = blocks.groupBy("block").applyInArrow(by_group(asked, send_anchors), asked)
-    told = sent.groupBy("shard").applyInArrow(by_group("block long, payload binary", repeated), "block long, payload binary")
-    carried = "shard long, block long, keys binary, docs binary, sizes binary, body binary"
+    sent = blocks.groupBy("block").applyInArrow(by_group(asked, send_sides), asked)
+    told = sent.groupBy("shard").applyInArrow(by_group(asked, repeated), asked)
+    carried = "shard long, block long, sizes binary, body binary, counts binary, rows binary, places binary, docs binary"
     pieces = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(by_cogroup(carried, send_pieces), carried)
-    replied = "block long, shard long, keys binary, least binary"
+    replied = "block long, payload binary"
     replies = pieces.groupBy("shard").applyInArrow(by_group(replied, minima), replied)
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(by_cogroup(out, cut), out)

@@ -98,3 +98,33 @@ def test_packed_ids_are_the_tokenizers(spark, name):
             assert p.offset == at
             at += p.length
         assert at <= 2048
+
+
+def _cut_by_brute_force(rows):
+    first: dict = {}
+    for i, t in sorted(rows):
+        for j in range(len(t) - 49):
+            first.setdefault(t[j : j + 50], i)
+    out = {}
+    for i, t in rows:
+        gone = bytearray(len(t))
+        for j in range(len(t) - 49):
+            if first[t[j : j + 50]] < i:
+                gone[j : j + 50] = b"\1" * 50
+        out[i] = bytes(c for c, g in zip(t, gone, strict=True) if not g)
+    return out
+
+
+def test_substrings_of_long_runs_and_one_hot_anchor(spark):
+    """Runs of one, two and three characters, and a 40-byte phrase that every document follows with other words."""
+    from spark_marts.llm import substrings
+
+    rng = np.random.default_rng(5)
+    word = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8))
+    phrase, tail = word(40), word(30)
+    rows = [(1, b"a" * 30_000), (2, b"x" * 20 + b"a" * 90_000 + b"y" * 49), (3, b"ab" * 20_000), (4, b"ba" * 9_000 + word(200)), (5, b"abc" * 7_000)]
+    rows += [(6, b"cab" * 20 + b"a" * 50 + b"y" * 50), (7, b"y" * 49 + b"a" * 49)]
+    rows += [(10 + i, word(int(rng.integers(0, 90))) + phrase + (word(12) if i % 3 else tail) + word(60)) for i in range(300)]
+    frame = spark.createDataFrame([(i, t.decode()) for i, t in rows], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: bytes(r.kept) for r in substrings.dedup_substrings(frame, 4_000).collect()}
+    assert got == _cut_by_brute_force(rows)

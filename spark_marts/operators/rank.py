@@ -68,7 +68,7 @@ def rank_within(
         raise ValueError(f"unsupported ranking method {method!r}")
     partition = list(partition)
     if buckets is None:
-        buckets = max(8, 2 * df.sparkSession.sparkContext.defaultParallelism)
+        buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # sized from the input: session.cluster_conf
     if checkpoint:
         df = materialize(df)
 

@@ -18,7 +18,7 @@ from ..sources import bindings, tables
 from ..sources import raw as raw_sources
 from ..streaming import events, log
 from . import oracle as o
-from . import retail, sqlrun
+from . import pipeline, retail, sqlrun
 from . import weather as weather_plan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -934,8 +934,7 @@ def _two_batches(spark, sf):
 
     The second batch holds each document twice, the first copy without rain, and some places under two names.
     """
-    namespace = f"reload_{uuid.uuid4().hex[:8]}"
-    tables.ensure_namespace(spark, namespace, shared_dir(spark, namespace))
+    namespace = _namespace(spark, "reload")
     places = bindings.locations(spark, sf)
     known = places.where(F.substring("name", -1, 1).isin(*"0123456"))
     station = places.where(F.substring("name", -1, 1).isin(*"05")).withColumn("name", F.concat("name", F.lit(" Station")))
@@ -1099,3 +1098,101 @@ def q_control_totals_damaged(spark, sf):
     lost = F.when(F.col("layer") == "events", F.col("revenue") - F.lit(event_rows).cast("decimal(20,0)") * F.lit("0.02").cast("decimal(3,2)"))
     damaged = totals.withColumn("revenue", F.coalesce(lost, F.col("revenue")).cast(totals.schema["revenue"].dataType))
     return quality.control_total_mismatches(damaged, event_rows)
+
+
+# ---------------------------------------------------------------------- stored layers
+
+
+def _namespace(spark: SparkSession, name: str) -> str:
+    """A fresh namespace in the shared folder."""
+    namespace = f"{name}_{uuid.uuid4().hex[:8]}"
+    tables.ensure_namespace(spark, namespace, shared_dir(spark, namespace))
+    return namespace
+
+
+def _stored_layers(spark, sf, buckets: int | None = None) -> tuple[str, pipeline.RunReport]:
+    namespace, report = _namespace(spark, "layers"), pipeline.RunReport()
+    pipeline.build_layers(spark, bindings.raw_retail(spark, sf), namespace, report, buckets)
+    return namespace, report
+
+
+_STORED = {
+    **{f"bronze_{t}": f"raw_{v}" for t, v in (("customers", "customers"), ("products", "products"), ("sales_orders", "orders"))},
+    **{f"silver_{t}": f"silver_{v}" for t, v in (("customers", "customers"), ("products", "products"), ("sales_orders", "orders"))},
+    "silver_enriched_sales": "enriched",
+    "gold_monthly_category_sales": f"({ORACLE['monthly_category_sales']})",
+    "gold_city_sales": f"({ORACLE['city_sales']})",
+    "gold_customer_value": f"({ORACLE['customer_value']})",
+    "gold_top_products_by_category": f"({ORACLE['top_products']})",
+}
+
+
+@register(
+    "stored_layers",
+    o.RETAIL + " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS written_rows, COUNT(*) AS stored_rows FROM {v}" for t, v in _STORED.items()),
+)
+def q_stored_layers(spark, sf):
+    """Every layer written in order, each from the tables before it; rows observed on the writes and rows read back."""
+    namespace, report = _stored_layers(spark, sf)
+    counted = [
+        tables.read(spark, f"{namespace}.{t}").agg(F.lit(t).alias("table_name"), F.lit(report.rows[t]).cast("bigint").alias("written_rows"), F.count(F.lit(1)).alias("stored_rows"))
+        for t in tables.list_tables(spark, namespace)
+    ]
+    return _union(counted)
+
+
+@register("stored_gold", ORACLE["monthly_category_sales"])
+def q_stored_gold(spark, sf):
+    """The monthly mart as stored, after the zero-row check of the stored layers (bucketed by customer, by month)."""
+    namespace, report = _stored_layers(spark, sf, buckets=8)
+    pipeline.check_layers(spark, namespace, report)
+    return tables.read(spark, f"{namespace}.gold_monthly_category_sales")
+
+
+@register(
+    "stored_switch",
+    f"""{o.RETAIL}, sums AS (SELECT city, SUM(quantity) AS units FROM enriched GROUP BY city),
+first_load AS (SELECT * FROM sums WHERE units % 2 = 0),
+second_load AS (SELECT city, units + 1 AS units FROM first_load UNION ALL SELECT * FROM sums WHERE units % 2 = 1)
+SELECT 'before' AS version, city, CAST(units AS BIGINT) AS units FROM first_load
+UNION ALL SELECT 'after', city, CAST(units AS BIGINT) FROM second_load""",
+)
+def q_stored_switch(spark, sf):
+    """A table whose next version reads it; a plan made before the switch goes on with the old rows."""
+    name = f"{_namespace(spark, 'switch')}.city_units"
+    sums = materialize(retail.silver(spark, sf).enriched.groupBy("city").agg(F.sum("quantity").cast("bigint").alias("units")), "sums")
+    tables.save(sums.where(F.col("units") % 2 == 0), name)
+    before = tables.read(spark, name)
+    raised = before.withColumn("units", F.col("units") + 1)
+    tables.replace_table(spark, raised.unionByName(sums.where(F.col("units") % 2 == 1)), name)
+    versions = {"before": before, "after": tables.read(spark, name)}
+    return _union([df.select(F.lit(v).alias("version"), "city", "units") for v, df in versions.items()])
+
+
+@register(
+    "stored_reset",
+    f"""{o.RETAIL} SELECT 'silver_customers' AS table_name, region AS part, COUNT(*) AS loaded_rows FROM silver_customers GROUP BY region
+UNION ALL SELECT 'silver_products', category, COUNT(*) FROM silver_products GROUP BY category""",
+)
+def q_stored_reset(spark, sf):
+    """Tables of an earlier load with other columns are dropped, then loaded afresh and listed."""
+    namespace, layer = _namespace(spark, "reset"), retail.silver(spark, sf)
+    fresh = {"silver_customers": layer.customers, "silver_products": layer.products}
+    tables.save_all({t: df.select(df.columns[0]) for t, df in fresh.items()}, namespace)
+    tables.drop(spark, *(f"{namespace}.{t}" for t in tables.list_tables(spark, namespace)))
+    tables.save_all(fresh, namespace)
+    part = {"silver_customers": "region", "silver_products": "category"}
+    return _union([
+        tables.read(spark, f"{namespace}.{t}", [part[t]]).groupBy(F.lit(t).alias("table_name"), F.col(part[t]).alias("part")).agg(F.count(F.lit(1)).alias("loaded_rows"))
+        for t in tables.list_tables(spark, namespace)
+    ])
+
+
+@register(
+    "check_report",
+    f"""SELECT 'monthly' AS check_name, COUNT(*) AS failing_rows FROM ({ORACLE['recon_monthly']})
+UNION ALL SELECT 'monthly_damaged', COUNT(*) FROM ({ORACLE['recon_monthly_damaged']})""",
+)
+def q_check_report(spark, sf):
+    """Rows that each zero-row check returns, over the mart as it is and a damaged copy."""
+    return sqlrun.check_report({"monthly": q_recon_monthly(spark, sf), "monthly_damaged": q_recon_monthly_damaged(spark, sf)})

@@ -8,9 +8,11 @@ A script names its tables as ``{ns}table``; ``{ns}`` becomes a namespace prefix
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SQL_DIR = Path(__file__).parent / "sql"
 
@@ -73,16 +75,23 @@ def run_script(
 
 
 class CheckFailed(AssertionError):
-    pass
+    """``failing``: the rows that each failed check returns, as a frame."""
+
+    def __init__(self, failing: Mapping[str, DataFrame]):
+        super().__init__(f"{len(failing)} check(s) returned rows: {sorted(failing)}")
+        self.failing = dict(failing)
 
 
 def run_checks(checks: Mapping[str, DataFrame]) -> dict[str, int]:
     """Zero-row contract: a check passes iff it returns no row. All checks run; the
-    failing ones are reported together. Only ``limit(1)`` of each is ever fetched."""
-    failures = {}
-    for name, df in checks.items():
-        if not df.isEmpty():
-            failures[name] = 1
-    if failures:
-        raise CheckFailed(f"{len(failures)} check(s) returned rows: {sorted(failures)}")
+    failing ones are reported together, with their rows still to be read. Only ``limit(1)`` of each is fetched."""
+    failing = {name: df for name, df in checks.items() if not df.isEmpty()}
+    if failing:
+        raise CheckFailed(failing)
     return {name: 0 for name in checks}
+
+
+def check_report(checks: Mapping[str, DataFrame]) -> DataFrame:
+    """``check_name, failing_rows`` of every check, passed ones included, in one plan."""
+    counts = [df.agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("failing_rows")) for name, df in checks.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -52,8 +52,11 @@ def test_business_keys(spark):
 def test_zero_row_contract(spark):
     empty = spark.range(0)
     assert sqlrun.run_checks({"ok": empty}) == {"ok": 0}
-    with pytest.raises(sqlrun.CheckFailed, match="bad"):
-        sqlrun.run_checks({"ok": empty, "bad": spark.range(2)})
+    checks = {"ok": empty, "bad": spark.range(2)}
+    with pytest.raises(sqlrun.CheckFailed, match="bad") as failed:
+        sqlrun.run_checks(checks)
+    assert {name: df.count() for name, df in failed.value.failing.items()} == {"bad": 2}
+    assert sorted(map(tuple, sqlrun.check_report(checks).collect())) == [("bad", 2), ("ok", 0)]
 
 
 def test_reconciliation_passes_then_catches_a_broken_gold(spark):

@@ -43,3 +43,10 @@ def test_number_rows_is_dense_and_ordered(spark):
     out = number_rows(df, ["x"], start=100, out="n").collect()
     pairs = sorted((r.x, r.n) for r in out)
     assert [n for _, n in pairs] == list(range(101, 5101))
+
+
+def test_cluster_shuffle_width_is_bounded():
+    from spark_marts.session import cluster_conf
+    width = lambda size, cores: int(cluster_conf(size, cores)["spark.sql.shuffle.partitions"])
+    assert width(1 << 30, 8) == 16 and width(1 << 40, 8) == 4096
+    assert width(100 << 40, 4000) == 65_536 and width(100 << 40, 40_000) == 80_000

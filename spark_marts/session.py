@@ -83,16 +83,16 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 65_536) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20, max_partitions: int | None = None) -> dict[str, str]:
     """Settings for a large cluster, sized from the input volume.
 
     Shuffle partitions start at about one per ``target_partition_bytes`` of input (and
     at least two per core) so no reducer has to hold more than it can spill, and end at
-    ``max_partitions``, as a shuffle keeps a block size for each pair of tasks on the driver; beyond
+    ``max_partitions`` where given, as a shuffle keeps a block size for each pair of tasks on the driver; beyond
     that partitions grow and spill. AQE then coalesces small partitions and splits skewed ones. Broadcasts stay behind a size
     threshold checked at runtime. Pass the result to ``SparkSession.builder.config``.
     """
-    partitions = max(2 * total_cores, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    partitions = max(2 * total_cores, min(max_partitions or input_bytes, -(-input_bytes // target_partition_bytes)))
     target = f"{target_partition_bytes >> 20}m"
     return {
         **BASE_CONF,

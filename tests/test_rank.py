@@ -47,6 +47,6 @@ def test_number_rows_is_dense_and_ordered(spark):
 
 def test_cluster_shuffle_width_is_bounded():
     from spark_marts.session import cluster_conf
-    width = lambda size, cores: int(cluster_conf(size, cores)["spark.sql.shuffle.partitions"])
+    width = lambda size, cores: int(cluster_conf(size, cores, max_partitions=65_536)["spark.sql.shuffle.partitions"])
     assert width(1 << 30, 8) == 16 and width(1 << 40, 8) == 4096
     assert width(100 << 40, 4000) == 65_536 and width(100 << 40, 40_000) == 80_000

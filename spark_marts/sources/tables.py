@@ -97,8 +97,8 @@ def drop(spark: SparkSession, *names: str) -> None:
 
 
 def list_tables(spark: SparkSession, namespace: str) -> list[str]:
-    """Table names of a namespace."""
-    return sorted(t.name for t in spark.catalog.listTables(namespace))
+    """Table names of a namespace; the session's temporary views, which Spark lists in every one, are left out."""
+    return sorted(t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary)
 
 
 def sample(df: DataFrame, n: int = 5) -> DataFrame:

@@ -123,3 +123,13 @@ def test_readers_never_miss_the_table(spark, scratch, monkeypatch):
     assert spark.table(f"{ns}.t").count() == 4
     with pytest.raises(ValueError, match="other columns"):
         tables.replace_table(spark, spark.range(2).selectExpr("id as x"), f"{ns}.t")
+
+
+def test_only_the_namespace_is_listed(spark, scratch):
+    ns = _namespace(spark, scratch, "listed")
+    tables.save(spark.range(2), f"{ns}.t")
+    spark.range(1).createOrReplaceTempView("a_view_of_the_session")
+    try:
+        assert tables.list_tables(spark, ns) == ["t"]
+    finally:
+        spark.catalog.dropTempView("a_view_of_the_session")

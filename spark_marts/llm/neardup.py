@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from ..session import materialize
-from .common import WordHashes, map_texts, mix, table, texts_of, words_of
+from .common import WordHashes, kept, map_texts, mix, table, texts_of, words_of
 
 HASHES, ROWS, LONGS = 160, 5, 5  # 32 minima of 2 bits to a long
 ODD = 8  # longs of the parity sketch
@@ -44,11 +44,6 @@ ENOUGH, TURNS = 16, 3
 MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
-
-
 @lru_cache(1)
 def seeds() -> tuple[np.ndarray, np.ndarray]:
     n = np.arange(1, HASHES + 1, dtype=np.uint64)[:, None]
@@ -57,7 +52,7 @@ def seeds() -> tuple[np.ndarray, np.ndarray]:
 
 def shingles(text: str, size: int) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
-    h = word_hashes().of(words_of(text))
+    h = kept(WordHashes).of(words_of(text))
     if not len(h):
         return h
     size = min(size, len(h))

@@ -17,7 +17,6 @@ occur; a null doc_id is passed on; other columns are ignored; an empty table pac
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import SLICE_ROWS, arrow_schema, table, texts_of
+from .common import SLICE_ROWS, arrow_schema, kept, table, texts_of
 
 LENGTH = 2048
 END = np.array([1], "<u4").tobytes()
@@ -96,12 +95,6 @@ class Tokens:
         return (self.joined(text) if self.by_word else self.whole(text)) + END
 
 
-@lru_cache(1)
-def tokens_for(path: str) -> Tokens:
-    """One memory a worker process, kept from task to task."""
-    return Tokens(path)
-
-
 class Packer:
     """Places pieces ``(doc, start, ids, doc_tokens)``; ``done`` takes each finished sequence."""
 
@@ -172,7 +165,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     schema = arrow_schema(DDL)
 
     def run(batches):
-        tokens, rows, made = tokens_for(tokenizer), [], 0
+        tokens, rows, made = kept(Tokens, tokenizer), [], 0
         task = TaskContext.get()
         first = (task.partitionId() if task else 0) << 32
 

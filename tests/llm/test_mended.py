@@ -128,3 +128,31 @@ def test_substrings_of_long_runs_and_one_hot_anchor(spark):
     frame = spark.createDataFrame([(i, t.decode()) for i, t in rows], "doc_id long, text string").repartition(3)
     got = {r.doc_id: bytes(r.kept) for r in substrings.dedup_substrings(frame, 4_000).collect()}
     assert got == _cut_by_brute_force(rows)
+
+
+def test_a_worker_drops_what_another_stage_kept(spark):
+    """Packing's words stay in a reused worker from task to task, but not through the next operator's tasks."""
+    from public_tokenizers import path
+
+    from spark_marts.llm import packing
+    from spark_marts.llm.common import keep_rows
+
+    def held(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"n": [sum(type(x).__name__ in ("Tokens", "WordHashes") for x in gc.get_objects())]})
+
+    docs = spark.createDataFrame([(i, f"some words of text {i} and more of them") for i in range(40)], "doc_id long, text string").repartition(8)
+    count = lambda: max(r.n for r in spark.range(8, numPartitions=8).mapInArrow(held, "n long").collect())
+    packing.pack(docs, path("word_bpe_49k.json")).collect()
+    assert count() >= 1
+    for _ in range(6):  # every worker gets a task
+        keep_rows(docs, lambda texts: [True] * len(texts)).collect()
+        neardup.drop_near_duplicates(docs, shingle=5).collect()
+    packing.pack(docs, path("word_bpe_49k.json")).collect()
+    assert count() == 1
+    keep_rows(docs, lambda texts: [True] * len(texts)).collect()

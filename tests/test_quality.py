@@ -144,3 +144,17 @@ def test_profile_counts_of_columns_and_whole_rows(spark):
     got = {r[0]: tuple(r)[1:] for r in profile.collect()}
     assert got == {"id": (4, 1, 2, 1, 1), "name": (4, 2, 1, 1, 1), "tags": (4, 1, 2, 1, 1), "*": (4, 0, 3, 1, 1)}
     assert "Expand" not in profile._jdf.queryExecution().executedPlan().toString()
+
+
+def test_profile_takes_narrow_entries_and_keeps_types(spark):
+    rows = [(1, "9", -0.0, bytearray(b"\xff"), [1]), (2, "10", 0.0, bytearray(b"\xfe"), None), (2, None, None, None, [1]), (None, "x", 3.5, bytearray(b"\xff"), [2, 3])]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d binary, e array<int>")
+    exact = quality.profile(df, {"b": "int"})
+    got = {r.column_name: tuple(r)[1:4] for r in exact.collect()}
+    assert got == {"a": (1, 0, 2), "b": (1, 1, 3), "c": (1, 0, 2), "d": (1, 0, 2), "e": (1, 0, 2)}
+    ranges = {r.column_name: (r.min_value, r.max_value) for r in exact.collect()}
+    assert ranges["a"] == ("1", "2") and ranges["b"] == ("9", "10") and ranges["e"] == ("[1]", "[2, 3]")
+    assert {r.column_name: tuple(r)[1:4] for r in quality.profile(df, {"b": "int"}, exact=False).collect()} == got
+    plan = exact._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan  # wide rows repeated once a column, sorted in the task that reads them
+    assert [tuple(r)[1:] for r in quality.profile(df.limit(0)).collect()] == [(0, 0, 0, None, None)] * 5

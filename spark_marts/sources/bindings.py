@@ -124,17 +124,30 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw order line per lineitem, joined to its order header on the order key."""
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    orders = read_table(spark, sf_dir, "orders")
-    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    """One raw order line per lineitem, joined to its order header on the order key.
+
+    What a header says is spelled out before the join, once an order and not once a line.
+    """
+    key = F.col("o_orderkey")
+    headers = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        _s(F.col("o_custkey")).alias("customer_id"),
+        F.when(key % 211 == 0, F.lit("unknown")).otherwise(_ts_text(F.col("o_orderdate"))).alias("order_timestamp"),
+        _s(F.date_add(F.col("o_orderdate").cast("date"), 30)).alias("promised_delivery_date"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("PENDING"))
+        .when(F.col("o_orderstatus") == "F", F.lit("COMPLETED"))
+        .when(key % 3 == 0, F.lit("CANCELLED"))
+        .when(key % 3 == 1, F.lit("RETURNED"))
+        .otherwise(F.lit("SHIPPED"))
+        .alias("order_status"),
+    )
     okey = F.col("l_orderkey")
-    return joined.select(
+    return read_table(spark, sf_dir, "lineitem").join(headers, okey == key).select(
         F.concat(_s(okey), F.lit("-"), _s(F.col("l_linenumber"))).alias("order_id"),
-        _s(F.col("o_custkey")).alias("customer_id"),
+        "customer_id",
         _s(F.col("l_partkey")).alias("product_id"),
-        F.when(okey % 211 == 0, F.lit("unknown")).otherwise(_ts_text(F.col("o_orderdate"))).alias("order_timestamp"),
-        _s(F.date_add(F.col("o_orderdate").cast("date"), 30)).alias("promised_delivery_date"),
+        "order_timestamp",
+        "promised_delivery_date",
         _s(F.col("l_shipdate").cast("date")).alias("actual_delivery_date"),
         F.when(F.col("l_partkey") % 41 == 0, F.lit("0"))
         .otherwise(_s(F.col("l_quantity").cast("int")))
@@ -142,12 +155,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(okey % 89 == 0, F.lit("n/a"))
         .otherwise(_s((F.col("l_discount").cast("decimal(4,2)") * 100).cast("decimal(5,2)")))
         .alias("discount_pct"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("PENDING"))
-        .when(F.col("o_orderstatus") == "F", F.lit("COMPLETED"))
-        .when(okey % 3 == 0, F.lit("CANCELLED"))
-        .when(okey % 3 == 1, F.lit("RETURNED"))
-        .otherwise(F.lit("SHIPPED"))
-        .alias("order_status"),
+        "order_status",
     )
 
 

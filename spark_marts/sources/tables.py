@@ -9,11 +9,17 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 log = logging.getLogger(__name__)
 
 
@@ -75,15 +81,22 @@ def save_observed(
 
 
 def save_all(tables: Mapping[str, DataFrame], namespace: str | None = None, fmt: str = "parquet") -> dict[str, int]:
-    """Write each table and report its row count."""
-    counts = {}
-    for name, df in tables.items():
-        fqn = qualified(namespace, name)
-        counts[name] = save(df, fqn, fmt)
-        log.info("wrote %s: %d rows", fqn, counts[name])
+    """Write each table and report its row count; see :func:`at_once`."""
+    counts = at_once({name: partial(save, df, qualified(namespace, name), fmt) for name, df in tables.items()})
+    for name, n in counts.items():
+        log.info("wrote %s: %d rows", qualified(namespace, name), n)
     return counts
 
 
+def at_once(writes: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Runs writes that do not read one another side by side, so that a small table's few tasks do not hold up a large one's."""
+    if not writes:
+        return {}
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(write)) for name, write in writes.items()}
+    return {name: r.result() for name, r in running.items()}
+
+
 def read(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Table scan by (qualified) name; ``columns`` prunes the read."""
     df = spark.table(name)

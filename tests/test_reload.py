@@ -133,3 +133,36 @@ def test_only_the_namespace_is_listed(spark, scratch):
         assert tables.list_tables(spark, ns) == ["t"]
     finally:
         spark.catalog.dropTempView("a_view_of_the_session")
+
+
+def test_tables_of_a_layer_are_written_side_by_side():
+    import threading
+
+    both = threading.Barrier(2, timeout=20)  # passes only when two writes are under way
+    assert sorted(tables.at_once({"a": both.wait, "b": both.wait}).values()) == [0, 1]
+    assert tables.at_once({}) == {}
+    with pytest.raises(ZeroDivisionError):
+        tables.at_once({"a": lambda: 1, "b": lambda: 1 // 0})
+
+
+def test_order_headers_are_spelled_out_before_the_join(spark):
+    from spark_marts.sources import bindings
+
+    plan = bindings.raw_orders(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("date_format") > plan.index("Join Inner")
+
+
+def test_buckets_grow_with_the_orders(spark, scratch, monkeypatch):
+    from spark_marts.plans import pipeline
+    from spark_marts.sources import bindings
+
+    raw = bindings.raw_retail(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(pipeline, "BUCKET_ROWS", 500)
+    ns, report = _namespace(spark, scratch, "more_buckets"), pipeline.RunReport()
+    pipeline.build_layers(spark, raw, ns, report, buckets=2)
+    want = -(-report.rows["bronze_sales_orders"] // 500)
+    for name in ("silver_sales_orders", "silver_customers"):
+        told = spark.sql(f"DESCRIBE TABLE EXTENDED {ns}.{name}").where("col_name = 'Num Buckets'").first()["data_type"]
+        assert int(told) == want > 2
+    pipeline.check_layers(spark, ns, report)
+    assert report.checks == {"monthly_matches_gold": 0}

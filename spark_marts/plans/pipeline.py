@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ def gold_totals() -> dict[str, Column]:
     return {total: F.sum(column) for total, column in zip(TOTALS, ("order_count", "total_quantity", "total_revenue"), strict=True)}
 
 
+BUCKET_ROWS = 1_000_000  # order lines a bucket
 RAW_NAMES = ("customers", "products", "sales_orders")
 
 
@@ -55,20 +57,20 @@ def build_layers(
     """Write every layer. With ``buckets``, Silver customers and orders are stored
     bucketed by ``customer_id`` and enrichment joins customers first, so the largest join
     reads co-located buckets instead of shuffling the fact table; enriched sales are
-    partitioned by month so month filters prune files."""
+    partitioned by month so month filters prune files. ``buckets`` is the least number: a bucket is
+    one task of the write and of the join, so their number grows with the orders (``BUCKET_ROWS``)."""
     t = lambda n: tables.qualified(namespace, n)
     tables.ensure_namespace(spark, namespace)
     report.rows |= tables.save_all(
         {f"bronze_{n}": stamp_lineage(raw[n], f"{n}.csv") for n in RAW_NAMES}, namespace
     )
-    by_customer = (buckets, ["customer_id"]) if buckets else None
+    by_customer = (max(buckets, -(-report.rows["bronze_sales_orders"] // BUCKET_ROWS)), ["customer_id"]) if buckets else None
     silver = {
         "silver_customers": (clean_customers(tables.read(spark, t("bronze_customers"))), by_customer),
         "silver_products": (clean_products(tables.read(spark, t("bronze_products"))), None),
         "silver_sales_orders": (clean_orders(tables.read(spark, t("bronze_sales_orders"))), by_customer),
     }
-    for name, (df, bucket_by) in silver.items():
-        report.rows[name] = tables.save(df, t(name), bucket_by=bucket_by)
+    report.rows |= tables.at_once({n: partial(tables.save, df, t(n), bucket_by=by) for n, (df, by) in silver.items()})
     enriched = sales.enrich_sales(
         tables.read(spark, t("silver_sales_orders")),
         tables.read(spark, t("silver_customers")),
@@ -79,16 +81,16 @@ def build_layers(
     report.totals["silver"] = tables.save_observed(enriched, t("silver_enriched_sales"), silver_totals(), partition_by=by_month)
     report.rows["silver_enriched_sales"] = int(report.totals["silver"]["rows"])
     marts = gold(tables.read(spark, t("silver_enriched_sales")))
-    monthly = marts.pop("gold_monthly_category_sales")
-    report.totals["gold"] = tables.save_observed(monthly, t("gold_monthly_category_sales"), gold_totals())
-    report.rows["gold_monthly_category_sales"] = int(report.totals["gold"]["rows"])
-    report.rows |= tables.save_all(marts, namespace)
+    metrics = {"gold_monthly_category_sales": gold_totals()}
+    saved = tables.at_once({n: partial(tables.save_observed, df, t(n), metrics.get(n, {})) for n, df in marts.items()})
+    report.totals["gold"] = saved["gold_monthly_category_sales"]
+    report.rows |= {n: int(seen["rows"]) for n, seen in saved.items()}
 
 
 def check_layers(spark: SparkSession, namespace: str, report: RunReport) -> None:
     t = lambda n: tables.read(spark, tables.qualified(namespace, n))
     recon = monthly_mismatches(
-        sales.enrich_sales(t("silver_sales_orders"), t("silver_customers"), t("silver_products")),
+        sales.enrich_sales(t("silver_sales_orders"), t("silver_customers"), t("silver_products"), customers_first=True),
         t("gold_monthly_category_sales"),
     )
     report.checks = sqlrun.run_checks({"monthly_matches_gold": recon})

@@ -156,3 +156,62 @@ def test_a_worker_drops_what_another_stage_kept(spark):
     packing.pack(docs, path("word_bpe_49k.json")).collect()
     assert count() == 1
     keep_rows(docs, lambda texts: [True] * len(texts)).collect()
+
+
+def test_lm_ids_of_many_texts_are_those_of_their_words():
+    """One id a word wherever it stands, whatever its length; its class is that of its spelling; other words have other ids."""
+    from zlib import crc32
+
+    from spark_marts.llm import lm
+
+    rng = np.random.default_rng(2)
+    words = [b"a", b"A", b"ab", b"abc\x00", b"abc", b"abcdefg", b"abcdefg\x0f", b"abcdefgh", b"abcdefgh\x00", b"12345678" * 2, b"12345678" * 8, b"12345678" * 9, "é東 \u0085京".encode(), b"\x1c\x00"]
+    words += [bytes(rng.integers(97, 123, n).tolist()) for n in range(1, 140)]
+    spaces = [" ", "\t", "\n", "\x0b", "\x0c", "\r", " \n "]
+    texts = ["", " ", *("".join(rng.choice(spaces) + words[i].decode() for i in rng.integers(0, len(words), n)) for n in rng.integers(0, 40, 700)), "tail ", "x" * 9]
+    ids, ends = lm.all_ids(texts)
+    want = [[*t.encode().lower().split(), b""] for t in texts]
+    assert ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+    id_of = {}
+    for w, i in zip((w for ws in want for w in ws), ids.tolist(), strict=True):
+        assert id_of.setdefault(w, i) == i
+        assert i >> 57 == (1 + crc32(w[-2:] + (b"+" if len(w) > 4 else b"-")) % (lm.CLASSES - 1) if w else 0)
+    assert len(set(id_of.values())) == len(id_of) > 140
+    assert [a.tolist() for a in lm.cut(ids, ends)] == [lm.ids_of(t).tolist() for t in texts] and lm.all_ids([])[0].size == 0
+
+
+def test_lm_training_takes_each_exponential_once(monkeypatch):
+    """The class softmax took two of each class and token, the gates one more: most of the time of op6."""
+    from spark_marts.llm import lm
+
+    rng, taken, plain = np.random.default_rng(5), [], np.exp
+
+    def counted(a, *args, **kwargs):
+        taken.append(np.size(a))
+        return plain(a, *args, **kwargs)
+
+    x, y, slot = (rng.integers(0, n, (8, 16)).astype(np.int16) for n in (lm.CLASSES, lm.CLASSES, lm.SLOTS))
+    net, mass = lm.Gru.start(np.ones(lm.CLASSES)), np.ones((lm.CLASSES, lm.SLOTS))
+    monkeypatch.setattr(np, "exp", counted)
+    net.gradient(x, y, np.zeros(x.shape, bool), np.zeros((16, lm.HIDDEN), np.float32), slot, mass)
+    assert sum(taken) <= x.size * (lm.CLASSES + lm.SLOTS)
+
+
+def test_lm_scores_of_large_weights_are_finite_and_right():
+    """Logits beyond what exp of a float32 holds: by each row's largest, as in float64."""
+    from spark_marts.llm import lm
+
+    rng = np.random.default_rng(6)
+    flat = rng.normal(0, 30, len(lm.Gru.start(np.ones(lm.CLASSES)).flat))
+    mass, seqs = rng.integers(1, 50, (lm.CLASSES, lm.SLOTS)) + 0.5, [rng.integers(0, lm.CLASSES, n).astype(np.int16) for n in (9, 1, 30)]
+    slots = [rng.integers(0, lm.SLOTS, len(s)).astype(np.int16) for s in seqs]
+    h, kind, slot = rng.uniform(-1, 1, (40, lm.HIDDEN)), rng.integers(0, lm.CLASSES, 40), rng.integers(0, lm.SLOTS, 40)
+    net = lm.Gru(flat)
+    y = h @ net.o + net.c
+    y -= y.max(1, keepdims=True)
+    assert np.allclose(net.class_softmax(h, kind), (y - np.log(np.exp(y).sum(1, keepdims=True)))[np.arange(40), kind])
+    e = np.einsum("th,tsh->ts", h, net.w[kind])
+    top = e.max(1)
+    assert np.allclose(net.word_softmax(h, kind, slot, mass), e[np.arange(40), slot] - top - np.log((np.exp(e - top[:, None]) * mass[kind]).sum(1)))
+    for p in lm.class_scores(lm.Gru(flat.astype(np.float32)), seqs, slots, mass):
+        assert np.isfinite(p).all()

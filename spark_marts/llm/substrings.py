@@ -16,6 +16,9 @@ A byte goes if a WINDOW-byte string that covers it also starts in a document wit
 3. Blocks get back which windows of which rows go, and cut. Both steps number the rows of a block by
    (doc_id, text), so no hash is computed again.
 
+Every block sends every shard a message, so on large inputs blocks hold more text, and a shard is dealt
+by anchor into parts of its own that its task handles one after the other; a shard answers all its messages at once.
+
 Equal windows always meet in one shard, and a passage that a third of all documents hold reaches it
 once per block of documents. A run of one character is one piece with many places.
 
@@ -31,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_docs, blocks_for, by_cogroup, by_group, mix, split_by, table, text_bytes, texts_of, unpack
+from .common import BLOCK_BYTES, block_docs, blocks_for, by_cogroup, by_group, mix, split_by, table, text_bytes, texts_of, unpack
 
 WINDOW, GRAM = 50, 16
 REACH = WINDOW - GRAM + 1  # grams in a window
 SIDE = (WINDOW - GRAM) // 2  # a window goes on for SIDE bytes behind its anchor, or for more before it
 PRINT_BITS = 31
 PART_BYTES = 2 << 20
+MANY = 256  # blocks, and shards, that are enough work for a cluster; beyond them they grow first
+BLOCK_GROWTH, SHARD_GROWTH = 2, 4
 CHUNK = 1 << 15
 HIGH = np.uint64(0xFFFFFFFF00000000)
 NONE = np.iinfo(np.int64).max
@@ -239,28 +244,46 @@ def window_minima(names: list[bytes], docs: np.ndarray, part_bytes: int) -> tupl
     return np.concatenate(least), begins
 
 
-def going(least: np.ndarray, begins: np.ndarray, piece: np.ndarray, row: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """``(row, first window, last window)`` of the windows that a smaller doc_id has too; a piece at each place."""
+def going(least: np.ndarray, begins: np.ndarray, piece: np.ndarray, row: np.ndarray, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, first window, last window)`` of the windows that a smaller doc_id has too, a piece at each place;
+    and which place each comes from."""
     low, high = np.minimum.reduceat(least, begins[:-1]), np.maximum.reduceat(least, begins[:-1])
     size = np.diff(begins)
     every = np.flatnonzero(high[piece] < doc)
-    out = [np.stack([row[every], at[every], at[every] + size[piece[every]] - 1], 1)]
+    out, come = [np.stack([row[every], at[every], at[every] + size[piece[every]] - 1], 1)], [every]
     some = np.flatnonzero((low[piece] < doc) & (high[piece] >= doc))
-    if len(some):
+    for some in np.split(some, range(CHUNK, len(some), CHUNK)):
         n = size[piece[some]]
         own = np.repeat(np.arange(len(some)), n)
         step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
         hit = least[begins[piece[some]][own] + step] < doc[some][own]
-        opens = hit & ~(np.append(False, hit[:-1]) & (step > 0))
-        closes = hit & ~(np.append(hit[1:], False) & np.append(step[1:] > 0, False))
+        opens = hit & ~(np.append(False, hit[:-1]) & (step > 0))[: len(hit)]
+        closes = hit & ~(np.append(hit[1:], False) & np.append(step[1:] > 0, False))[: len(hit)]
         first, last = np.flatnonzero(opens), np.flatnonzero(closes)
         of = some[own[first]]
         out.append(np.stack([row[of], at[of] + step[first], at[of] + step[last]], 1))
-    return np.concatenate(out).astype(np.int32)
+        come.append(of)
+    return np.concatenate(out).astype(np.int32), np.concatenate(come)
+
+
+def short(a: np.ndarray) -> bytes:
+    """Whole numbers as the smallest, and the differences to it in as few bytes as hold them all."""
+    a = a.astype(np.int64)
+    least = a.min(initial=NONE)
+    over = (a - least).view(np.uint64)
+    kind = np.min_scalar_type(over.max(initial=0))
+    return least.tobytes() + np.uint8(kind.itemsize).tobytes() + over.astype(kind).tobytes()
+
 
+def long(body: bytes) -> np.ndarray:
+    return (np.frombuffer(body, f"<u{body[8]}", offset=9).astype(np.uint64) + np.frombuffer(body, np.uint64, 1)).view(np.int64)
 
-def pieces_of(block: Block, wanted: np.ndarray, shards: int) -> list[tuple]:
-    """``(shard, pieces, places of each, rows, places in the text)``: pieces whose sides are ``wanted``."""
+
+def pieces_of(block: Block, wanted: np.ndarray, shards: int, subs: int = 1) -> list[tuple]:
+    """``(shard, part, pieces, places of each, rows, places in the text)``: pieces whose sides are ``wanted``.
+
+    A shard has ``subs`` parts; equal windows have equal anchors, so they meet in one of them.
+    """
     row, first, last, place = block.runs()
     found = []
     for which, prints in block.sides(first, last, place, shards):
@@ -286,7 +309,8 @@ def pieces_of(block: Block, wanted: np.ndarray, shards: int) -> list[tuple]:
     piece = np.array(ids, np.int64)[np.cumsum(~again) - 1]
     shard = np.empty(len(texts), np.int64)
     g = eights(block.bytes)
-    shard[piece] = (mix(g[place] * MUL + g[place + 8]) % np.uint64(shards)).astype(np.int64)
+    shard[piece] = (mix(g[place] * MUL + g[place + 8]) % np.uint64(shards * subs)).astype(np.int64)
+    shard, part = np.divmod(shard, subs)
     names, order = list(texts), np.argsort(piece, kind="stable")
     counts = np.bincount(piece, minlength=len(names))
     ends = np.cumsum(counts)
@@ -295,16 +319,24 @@ def pieces_of(block: Block, wanted: np.ndarray, shards: int) -> list[tuple]:
         n = counts[own]
         of = np.repeat(ends[own] - np.cumsum(n), n) + np.arange(n.sum())  # places of the shard's pieces, piece by piece
         of = order[of]
-        out.append((s, [names[i] for i in own.tolist()], n, row[of], lo[of] - block.starts[row[of]]))
+        out.append((s, part[own], [names[i] for i in own.tolist()], n, row[of], lo[of] - block.starts[row[of]]))
     return out
 
 
+def dealt(total: int) -> tuple[int, int, int]:
+    """Blocks of the text, shards, and parts of a shard; their product, the messages, grows slowly."""
+    least = blocks_for(total)
+    grown = lambda by: max(min(least, MANY), -(-total // (BLOCK_BYTES * by)))
+    shards = grown(SHARD_GROWTH)
+    return grown(BLOCK_GROWTH), shards, -(-least // shards)
+
+
 def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
     flat = texts_of(docs)
-    n_blocks = blocks_for(text_bytes(flat))
+    total = text_bytes(flat)
+    n_blocks, shards, subs = dealt(total)
     blocks = block_docs(flat, n_blocks)
-    shards = n_blocks
     low_bits = np.uint64((1 << PRINT_BITS) - 1)
 
     def send_sides(t: pa.Table) -> dict:
@@ -337,30 +369,39 @@ def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame
         own, ends = unpack(told.column("payload").to_pylist(), np.uint32)
         of = np.repeat(np.array(told.column("shard").to_pylist(), np.uint64), np.diff(ends))
         wanted = np.sort((of << np.uint64(PRINT_BITS)) | own)
-        cols: dict = {c: [] for c in ("shard", "block", "sizes", "body", "counts", "rows", "places", "docs")}
+        cols: dict = {c: [] for c in ("shard", "block", "parts", "sizes", "body", "counts", "rows", "places", "docs")}
         block = Block(texts)
-        for shard, names, counts, row, at in pieces_of(block, wanted, shards):
-            packs = [np.array([len(n) for n in names], np.int32).tobytes(), b"".join(names), counts.astype(np.int32).tobytes()]
-            packs += [row.astype(np.int32).tobytes(), at.astype(np.int32).tobytes(), block.owner[row].tobytes()]
+        for shard, part, names, counts, row, at in pieces_of(block, wanted, shards, subs):
+            packs = [short(part), short(np.array([len(n) for n in names])), b"".join(names), short(counts), short(row), short(at), short(block.owner[row])]
             for c, value in zip(cols, (shard, texts.column("block")[0].as_py(), *packs), strict=True):
                 cols[c].append(value)
         return cols
 
     def minima(t: pa.Table) -> dict:
         names: dict = {}
-        pieces, sent = [], []
-        for sizes, body, counts in zip(*(t.column(c).to_pylist() for c in ("sizes", "body", "counts")), strict=True):
-            ends = np.cumsum(np.append(0, np.frombuffer(sizes, np.int32))).tolist()
-            own = [names.setdefault(body[a:b], len(names)) for a, b in zip(ends, ends[1:], strict=False)]
-            pieces.append(np.repeat(np.array(own, np.int64), np.frombuffer(counts, np.int32)))
-        docs_ = [np.frombuffer(d, np.int64) for d in t.column("docs").to_pylist()]
+        pieces, parts = [], []
+        for part, sizes, body, counts in zip(*(t.column(c).to_pylist() for c in ("parts", "sizes", "body", "counts")), strict=True):
+            ends = np.cumsum(np.append(0, long(sizes))).tolist()
+            own = np.array([names.setdefault(body[a:b], len(names)) for a, b in zip(ends, ends[1:], strict=False)], np.int64)
+            pieces.append(np.repeat(own, long(counts)))
+            parts.append((own, long(part)))
+        row, at, doc = (np.concatenate([long(b) for b in t.column(c).to_pylist()]) for c in ("rows", "places", "docs"))
+        message, piece = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces]), np.concatenate(pieces)
+        part, texts = np.empty(len(names), np.int64), list(names)
+        part[np.concatenate([own for own, _ in parts])] = np.concatenate([of for _, of in parts])
         first = np.full(len(names), NONE, np.int64)
-        np.minimum.at(first, np.concatenate(pieces), np.concatenate(docs_))
-        least, begins = window_minima(list(names), first, part_bytes)
-        for piece, doc, rows, places in zip(pieces, docs_, t.column("rows").to_pylist(), t.column("places").to_pylist(), strict=True):
-            sent.append(going(least, begins, piece, np.frombuffer(rows, np.int32), np.frombuffer(places, np.int32), doc).tobytes())
+        np.minimum.at(first, piece, doc)
+        sent = [[] for _ in pieces]
+        place = np.empty(len(names), np.int64)
+        for _, own in split_by(part, subs):
+            least, begins = window_minima([texts[i] for i in own.tolist()], first[own], part_bytes)
+            place[own] = np.arange(len(own))
+            here = np.flatnonzero(part[piece] == part[own[0]])
+            spans, come = going(least, begins, place[piece[here]], row[here], at[here], doc[here])
+            for i, which in split_by(message[here[come]], len(pieces)):
+                sent[i].append(spans[which].tobytes())
         has = pa.array([i for i, r in enumerate(sent) if r], pa.int64())
-        return {"block": t.column("block").take(has), "payload": [r for r in sent if r]}
+        return {"block": t.column("block").take(has), "payload": [b"".join(r) for r in sent if r]}
 
     def cut(texts: pa.Table, replies: pa.Table) -> dict:
         block = Block(texts)
@@ -380,7 +421,7 @@ def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame
     asked = "shard long, block long, payload binary"
     sent = blocks.groupBy("block").applyInArrow(by_group(asked, send_sides), asked)
     told = sent.groupBy("shard").applyInArrow(by_group(asked, repeated), asked)
-    carried = "shard long, block long, sizes binary, body binary, counts binary, rows binary, places binary, docs binary"
+    carried = "shard long, block long, parts binary, sizes binary, body binary, counts binary, rows binary, places binary, docs binary"
     pieces = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(by_cogroup(carried, send_pieces), carried)
     replied = "block long, payload binary"
     replies = pieces.groupBy("shard").applyInArrow(by_group(replied, minima), replied)

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from spark_marts.llm import topk
+from spark_marts.llm import common, substrings, topk
 
 
 def brute(ids, v, asked, k=5):
@@ -52,3 +52,57 @@ def test_query_copies_of_a_large_table_stay_below_it(spark):
     blocks, n, _ = topk.vector_blocks(few, few.where("vec_id % 50 = 0").select("vec_id"))
     asked = blocks.selectExpr("sum(octet_length(q_matrix)) AS q", "sum(octet_length(r_matrix)) AS r").first()
     assert asked.r == 300_000 * 64 * 2 and asked.q * n < 2 * asked.r
+
+
+def removed(docs):
+    """Plain Python: of every (doc_id, text) the bytes in no 50-byte string that a smaller doc_id has too."""
+    firsts: dict = {}
+    for i, t in docs:
+        for at in range(len(t) - 49):
+            firsts[t[at : at + 50]] = min(i, firsts.get(t[at : at + 50], i))
+    out = []
+    for i, t in docs:
+        gone = bytearray(len(t))
+        for at in range(len(t) - 49):
+            if firsts[t[at : at + 50]] < i:
+                gone[at : at + 50] = b"\1" * 50
+        kept = bytes(c for c, g in zip(t, gone, strict=True) if not g)
+        out.append((i, len(t), sum(gone), sum(1 for a, b in zip(b"\0" + gone, gone, strict=False) if b and not a), kept))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("part_bytes", [500, 1 << 20])
+def test_substrings_by_parts_of_shards(spark, monkeypatch, part_bytes):
+    """Blocks and shards grow beyond MANY, and a shard has several parts."""
+    for module in (common, substrings):
+        monkeypatch.setattr(module, "BLOCK_BYTES", 800)
+    monkeypatch.setattr(substrings, "MANY", 2)
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    shared = [word(int(n)) for n in rng.integers(40, 200, 6)]
+    docs = [(int(i) * 10_000_000_000, "".join(shared[j] + word(20) for j in rng.integers(0, 6, 3))) for i in rng.permutation(40) - 10]
+    docs += [(7, docs[0][1]), (7, docs[0][1]), (8, docs[1][1]), (-5, docs[1][1]), (9, "x" * 300), (11, "x" * 70), (12, shared[0] * 2)]
+    blocks, shards, subs = substrings.dealt(sum(len(t) for _, t in docs))
+    assert blocks > 2 and shards > 2 and subs > 1
+    got = substrings.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), part_bytes)
+    assert sorted((*r[:4], bytes(r[4])) for r in got.collect()) == removed([(i, t.encode()) for i, t in docs])
+
+
+def test_messages_of_a_large_corpus_are_few_and_answered_at_once():
+    """Every block of 4 MB sent every shard of 4 MB a message, and each was held against the whole shard."""
+    blocks, shards, subs = substrings.dealt(10 << 30)
+    assert blocks * shards < 1_000_000 and shards * subs >= common.blocks_for(10 << 30)
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(1, 30, 5000)
+    begins = np.append(0, np.cumsum(sizes))
+    least = rng.integers(0, 50, begins[-1])
+    piece, doc = rng.integers(0, 5000, 40_000), rng.integers(0, 50, 40_000)
+    spans, come = substrings.going(least, begins, piece, np.arange(40_000), np.full(40_000, 100), doc)
+    got = {(int(c), int(x)) for c, (r, a, b) in zip(come, spans, strict=True) for x in range(a - 100, b - 99) if r == c}
+    assert got == {(i, x) for i in range(40_000) for x in range(sizes[piece[i]]) if least[begins[piece[i]] + x] < doc[i]}
+
+
+@pytest.mark.parametrize("values", [[5], [-(1 << 63), (1 << 63) - 1, 0], [300, 7, 7], list(range(70_000))])
+def test_numbers_come_back_from_few_bytes(values):
+    a = np.array(values, np.int64)
+    assert (substrings.long(substrings.short(a)) == a).all() and len(substrings.short(a)) <= 9 + 8 * len(a)

@@ -2,6 +2,8 @@
 
 A byte goes if a WINDOW-byte string that covers it also starts in a document with a smaller doc_id.
 
+0. Copies. A row of WINDOW bytes or more whose whole text (by SHA-256) a smaller doc_id has too loses all of it,
+   and whatever it holds stands in that document as well: it is cut whole and takes no part in what follows.
 1. Candidates. Every window has an anchor, its leftmost 16-byte gram of smallest hash, and reaches at
    least SIDE bytes beyond it on one side, so equal windows have equal anchors and an equal *side*
    (the gram with those bytes). Blocks of documents send short prints of their distinct sides to the
@@ -29,12 +31,16 @@ any from others; an empty table gives an empty result; other columns are ignored
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, block_docs, blocks_for, by_cogroup, by_group, mix, split_by, table, text_bytes, texts_of, unpack
+from ..session import materialize
+from .common import BLOCK_BYTES, block_docs, blocks_for, by_cogroup, by_group, mix, split_by, table, texts_of, unpack
 
 WINDOW, GRAM = 50, 16
 REACH = WINDOW - GRAM + 1  # grams in a window
@@ -44,6 +50,7 @@ PART_BYTES = 2 << 20
 MANY = 256  # blocks, and shards, that are enough work for a cluster; beyond them they grow first
 BLOCK_GROWTH, SHARD_GROWTH = 2, 4
 CHUNK = 1 << 15
+COPIES = -1  # in place of a shard: the payload is the SHA-256 and the doc_id of a copy
 HIGH = np.uint64(0xFFFFFFFF00000000)
 NONE = np.iinfo(np.int64).max
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -75,12 +82,16 @@ def gram_hash(a: np.ndarray) -> np.ndarray:
 class Block:
     """The texts of a block end to end; rows are numbered by (doc_id, text), whatever order they came in."""
 
-    def __init__(self, t: pa.Table):
+    def __init__(self, t: pa.Table, told: pa.Table):
         docs, texts = t.column("doc_id").to_pylist(), [v.encode() for v in t.column("text").to_pylist()]
         order = sorted(range(len(docs)), key=lambda i: (docs[i] is None, docs[i] or 0, texts[i]))
         self.docs, self.texts = [docs[i] for i in order], [texts[i] for i in order]
         self.owner = np.array([d or 0 for d in self.docs], np.int64)
-        self.known = np.array([d is not None for d in self.docs], bool)
+        copies: dict = {}
+        for p in told.filter(pc.equal(told.column("shard"), COPIES)).column("payload").to_pylist():
+            copies.setdefault(int.from_bytes(p[32:], "big", signed=True), set()).add(p[:32])
+        self.copy = np.array([d in copies and sha256(x).digest() in copies[d] for d, x in zip(self.docs, self.texts, strict=True)], bool)
+        self.known = np.array([d is not None for d in self.docs], bool) & ~self.copy
         self.sizes = np.array([len(x) for x in self.texts], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.raw = b"".join(self.texts)
@@ -331,16 +342,28 @@ def dealt(total: int) -> tuple[int, int, int]:
     return grown(BLOCK_GROWTH), shards, -(-least // shards)
 
 
+def copies_of(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """``shard, block, payload`` of each row whose text a smaller doc_id has."""
+    firsts = rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    later = rows.join(firsts, "sha").where("doc_id > first")
+    name = F.concat("sha", F.unhex(F.lpad(F.hex("doc_id"), 16, "0"))).alias("payload")
+    return materialize(later.select(F.lit(COPIES).cast("long").alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block"), name), "copies")
+
+
 def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
     flat = texts_of(docs)
-    total = text_bytes(flat)
-    n_blocks, shards, subs = dealt(total)
+    size = F.octet_length("text")
+    rows = materialize(flat.select("doc_id", size.alias("n"), F.when(size >= WINDOW, F.unhex(F.sha2("text", 256))).alias("sha")), "text-hashes")
+    n_blocks, shards, subs = dealt(rows.select(F.sum("n")).first()[0] or 0)
     blocks = block_docs(flat, n_blocks)
+    copies = copies_of(rows.where("sha IS NOT NULL AND doc_id IS NOT NULL").select("sha", "doc_id"), n_blocks)
     low_bits = np.uint64((1 << PRINT_BITS) - 1)
 
-    def send_sides(t: pa.Table) -> dict:
-        block = Block(t)
+    def send_sides(t: pa.Table, told: pa.Table) -> dict:
+        if not t.num_rows:
+            return {"shard": [], "block": [], "payload": []}
+        block = Block(t, told)
         row, first, last, place = block.runs()
         sides = block.sides(first, last, place, shards)
         prints = np.concatenate([p for _, p in sides])
@@ -366,11 +389,12 @@ def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame
         return {"block": t.column("block").take(has), "shard": t.column("shard").take(has), "payload": [r for r in replies if r]}
 
     def send_pieces(texts: pa.Table, told: pa.Table) -> dict:
-        own, ends = unpack(told.column("payload").to_pylist(), np.uint32)
-        of = np.repeat(np.array(told.column("shard").to_pylist(), np.uint64), np.diff(ends))
+        answers = told.filter(pc.not_equal(told.column("shard"), COPIES))
+        own, ends = unpack(answers.column("payload").to_pylist(), np.uint32)
+        of = np.repeat(np.array(answers.column("shard").to_pylist(), np.uint64), np.diff(ends))
         wanted = np.sort((of << np.uint64(PRINT_BITS)) | own)
         cols: dict = {c: [] for c in ("shard", "block", "parts", "sizes", "body", "counts", "rows", "places", "docs")}
-        block = Block(texts)
+        block = Block(texts, told)
         for shard, part, names, counts, row, at in pieces_of(block, wanted, shards, subs):
             packs = [short(part), short(np.array([len(n) for n in names])), b"".join(names), short(counts), short(row), short(at), short(block.owner[row])]
             for c, value in zip(cols, (shard, texts.column("block")[0].as_py(), *packs), strict=True):
@@ -398,17 +422,20 @@ def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame
             place[own] = np.arange(len(own))
             here = np.flatnonzero(part[piece] == part[own[0]])
             spans, come = going(least, begins, place[piece[here]], row[here], at[here], doc[here])
-            for i, which in split_by(message[here[come]], len(pieces)):
+            for i, which in split_by(message[here[come]], len(pieces)) if len(come) else ():
                 sent[i].append(spans[which].tobytes())
         has = pa.array([i for i, r in enumerate(sent) if r], pa.int64())
-        return {"block": t.column("block").take(has), "payload": [b"".join(r) for r in sent if r]}
+        return {"shard": t.column("shard").take(has), "block": t.column("block").take(has), "payload": [b"".join(r) for r in sent if r]}
 
     def cut(texts: pa.Table, replies: pa.Table) -> dict:
-        block = Block(texts)
+        block = Block(texts, replies)
+        replies = replies.filter(pc.not_equal(replies.column("shard"), COPIES))
         row, first, last = unpack(replies.column("payload").to_pylist(), np.int32)[0].reshape(-1, 3).astype(np.int64).T
         covers = np.zeros(len(block.bytes) + 1, np.int32)
         np.add.at(covers, block.starts[row] + first, 1)
         np.add.at(covers, block.starts[row] + last + WINDOW, -1)
+        np.add.at(covers, block.starts[block.copy], 1)
+        np.add.at(covers, (block.starts + block.sizes)[block.copy], -1)
         gone = np.cumsum(covers)[:-1] > 0
         opens = gone & ~np.append(False, gone[:-1])[: len(gone)]
         inner = block.starts[block.sizes > 0]
@@ -419,12 +446,11 @@ def dedup_substrings(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame
         return {"doc_id": block.docs, "n_bytes": block.sizes, "n_removed": removed, "n_spans": spans, "kept": kept}
 
     asked = "shard long, block long, payload binary"
-    sent = blocks.groupBy("block").applyInArrow(by_group(asked, send_sides), asked)
-    told = sent.groupBy("shard").applyInArrow(by_group(asked, repeated), asked)
+    sent = blocks.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(by_cogroup(asked, send_sides), asked)
+    told = sent.groupBy("shard").applyInArrow(by_group(asked, repeated), asked).unionByName(copies)
     carried = "shard long, block long, parts binary, sizes binary, body binary, counts binary, rows binary, places binary, docs binary"
     pieces = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(by_cogroup(carried, send_pieces), carried)
-    replied = "block long, payload binary"
-    replies = pieces.groupBy("shard").applyInArrow(by_group(replied, minima), replied)
+    replies = pieces.groupBy("shard").applyInArrow(by_group(asked, minima), asked).unionByName(copies)
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(by_cogroup(out, cut), out)
 

@@ -104,7 +104,7 @@ def vector_blocks(embeddings: DataFrame, queries: DataFrame) -> tuple[DataFrame,
 
         held: list = []
         for batch in batches:
-            held.append(batch)
+            held += [batch] * (batch.num_rows > 0)
             if sum(b.num_rows for b in held) * width >= SLICE * 64:
                 yield from send(held)
                 held = []

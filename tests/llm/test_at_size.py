@@ -88,6 +88,19 @@ def test_substrings_by_parts_of_shards(spark, monkeypatch, part_bytes):
     assert sorted((*r[:4], bytes(r[4])) for r in got.collect()) == removed([(i, t.encode()) for i, t in docs])
 
 
+def test_copies_go_whole_and_send_nothing(spark):
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(list("abcdefgh "), 120)) for _ in range(4)]
+    docs = [(i, texts[i % 4]) for i in (5, -3, 2, 8, 9, 1, 12, 13)]
+    docs += [(13, texts[1]), (20, texts[0] + "end"), (21, "short"), (22, "short"), (None, texts[2])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = frame.where("doc_id IS NOT NULL AND length(text) >= 50").selectExpr("unhex(sha2(text, 256)) AS sha", "doc_id")
+    assert {int.from_bytes(r.payload[32:], "big", signed=True) for r in substrings.copies_of(rows, 3).collect()} == {1, 5, 9, 12, 13}
+    got = {(r.doc_id, r.n_bytes): (r.n_removed, r.n_spans, bytes(r.kept)) for r in substrings.dedup_substrings(frame).collect() if r.doc_id is not None}
+    want = {(i, n): rest for i, n, *rest in removed([(i, t.encode()) for i, t in docs if i is not None])}
+    assert {k: list(v) for k, v in got.items()} == want
+
+
 def test_messages_of_a_large_corpus_are_few_and_answered_at_once():
     """Every block of 4 MB sent every shard of 4 MB a message, and each was held against the whole shard."""
     blocks, shards, subs = substrings.dealt(10 << 30)

@@ -345,7 +345,7 @@ def dealt(total: int) -> tuple[int, int, int]:
 def copies_of(rows: DataFrame, n_blocks: int) -> DataFrame:
     """``shard, block, payload`` of each row whose text a smaller doc_id has."""
     firsts = rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = rows.join(firsts, "sha").where("doc_id > first")
+    later = rows.join(materialize(firsts, "firsts"), "sha").where("doc_id > first")  # a join of its own, so that a text of many rows is split
     name = F.concat("sha", F.unhex(F.lpad(F.hex("doc_id"), 16, "0"))).alias("payload")
     return materialize(later.select(F.lit(COPIES).cast("long").alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block"), name), "copies")
 
